@@ -123,9 +123,11 @@ def _csv_load(raw: DataFrame) -> DataFrame:
 
 
 def _partitioned(table: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(table.sparkSession, name)
-    write_layout(table, name, path)
-    return table.sparkSession.read.parquet(path)
+    spark = table.sparkSession
+    path = scratch_path(spark, name)
+    # A fixed number keeps all cores writing; thousands of small days fold into few tasks else.
+    write_layout(table, name, path, files=spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(path)
 
 
 def _snapshots(stg: DataFrame, manifest: bool) -> DataFrame:
