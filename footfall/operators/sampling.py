@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import hash_bucket, ratio
@@ -22,13 +22,16 @@ def sample_users(events: DataFrame, fraction: float = 0.05, seed: int = 42) -> D
 def sample_fidelity(sample: DataFrame, full: DataFrame) -> DataFrame:
     """Event-type shares of a sample and of the full data, and how far they lie apart.
 
-    Both sides are counted per event type before they meet, so the join and the totals see
-    one row per type. The sample must come from ``full``.
+    Both sides are counted per event type before they meet. The totals are scalar subqueries;
+    on parquet the one over ``full`` is answered from the footers. The sample must come from
+    ``full``.
     """
     def counts(events: DataFrame, name: str) -> DataFrame:
         return events.groupBy("event_type").agg(F.count(F.lit(1)).alias(name))
 
-    every_type = Window.partitionBy(F.lit(1))
+    def total(events: DataFrame) -> Column:
+        return events.agg(F.count(F.lit(1))).scalar()
+
     both = counts(full, "full_events").alias("f").join(
         counts(sample, "sample_events").alias("s"),
         F.col("f.event_type").eqNullSafe(F.col("s.event_type")),
@@ -38,7 +41,8 @@ def sample_fidelity(sample: DataFrame, full: DataFrame) -> DataFrame:
         "full_events",
         F.coalesce("sample_events", F.lit(0).cast("bigint")).alias("sample_events"),
     )
-    return both.withColumns({
-        "full_share": ratio(F.col("full_events"), F.sum("full_events").over(every_type)),
-        "sample_share": ratio(F.col("sample_events"), F.sum("sample_events").over(every_type)),
-    }).withColumn("share_gap", F.abs(F.col("sample_share") - F.col("full_share")))
+    shares = both.withColumns({
+        "full_share": ratio(F.col("full_events"), total(full)),
+        "sample_share": ratio(F.col("sample_events"), total(sample)),
+    })
+    return shares.withColumn("share_gap", F.abs(F.col("sample_share") - F.col("full_share")))

@@ -1,8 +1,8 @@
 """KPI and daily-activity reports over staged events and sessions.
 
 Several distinct counts in one aggregate make Spark repeat every input row once per
-count. Here the events are first folded to one row per user and bucket, with map-side
-combine, so most distinct counts become plain sums over far fewer rows.
+count. Here the events are first folded to one row per user, or per user and day or week,
+with map-side combine; distinct counts then become plain sums over far fewer rows.
 """
 
 from __future__ import annotations
@@ -44,14 +44,26 @@ def _gmv() -> Column:
 
 
 def kpi_summary(events: DataFrame) -> DataFrame:
-    """Users, sessions (by the source's own session id), buyers, revenue and events: one row."""
-    visits = events.groupBy("user_id", "session_id").agg(_events(), _bought(), _spent())
-    return visits.agg(
-        F.countDistinct("user_id").alias("users"),
-        F.countDistinct("session_id").alias("sessions"),
-        F.countDistinct(F.when(F.col("bought") == 1, F.col("user_id"))).alias("buyers"),
-        _gmv().alias("gmv"),
-        F.coalesce(F.sum("events"), F.lit(0)).cast("bigint").alias("events"),
+    """Users, sessions (by the source's own session id), buyers, revenue and events: one row.
+
+    Users and sessions are folded in two branches, each reading its own few columns and
+    grouping by its own key, and the two one-row results are added up.
+    """
+    per_user = events.groupBy("user_id").agg(_events(), _bought(), _spent())
+    by_user = per_user.agg(
+        F.count("user_id").alias("users"),
+        F.sum("bought").alias("buyers"),
+        F.sum("spent").alias("spent"),
+        F.sum("events").alias("events"),
+    )
+    by_session = events.agg(F.countDistinct("session_id").alias("sessions"))
+    both = by_user.unionByName(by_session, allowMissingColumns=True)
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).cast("bigint").alias(column)
+
+    return both.agg(
+        total("users"), total("sessions"), total("buyers"), _gmv().alias("gmv"), total("events")
     )
 
 

@@ -7,49 +7,40 @@ cohort weeks and has several orders at the same instant. Both are narrow project
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from footfall.schema import RAW_EVENTS, conform
 
 
 def events_as_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    return conform(
-        spark.read.parquet(f"{sf_dir}/events.parquet").select(
-            F.col("ts").alias("event_time"),
-            F.when(F.col("event_type") == "click", "cart").otherwise(F.col("event_type")).alias("event_type"),
-            (F.col("event_id") % 500).alias("product_id"),
-            k.alias("category_id"),
-            F.when(k % 20 == 0, "").otherwise(F.concat(F.lit(" cat."), k % 20)).alias("category_code"),
-            F.when(k % 7 == 0, " ").otherwise(F.concat(F.lit("brand_"), k % 7)).alias("brand"),
-            F.col("value").alias("price"),
-            "user_id",
-            F.concat_ws("-", F.col("user_id").cast("string"), F.col("ts").cast("date").cast("string"))
-            .alias("user_session"),
-        ),
-        RAW_EVENTS,
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    clicks = events.selectExpr(
+        "*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k"
+    ).selectExpr(
+        "ts AS event_time",
+        "CASE event_type WHEN 'click' THEN 'cart' ELSE event_type END AS event_type",
+        "event_id % 500 AS product_id",
+        "k AS category_id",
+        "IF(k % 20 = 0, '', concat(' cat.', k % 20)) AS category_code",
+        "IF(k % 7 = 0, ' ', concat('brand_', k % 7)) AS brand",
+        "value AS price",
+        "user_id",
+        "concat_ws('-', user_id, date(ts)) AS user_session",
     )
+    return conform(clicks, RAW_EVENTS)
 
 
 def orders_as_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = (
-        F.when(F.col("o_orderstatus") == "O", "view")
-        .when(F.col("o_orderstatus") == "P", "cart")
-        .when(F.col("o_orderstatus") == "F", "purchase")
-    )
-    day = F.col("o_orderdate").cast("date").cast("string")
-    return conform(
-        spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-            F.col("o_orderdate").alias("event_time"),
-            stage.alias("event_type"),
-            F.col("o_orderkey").alias("product_id"),
-            (F.col("o_orderkey") % 5).alias("category_id"),
-            F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", " ")
-            .otherwise(F.col("o_orderpriority")).alias("category_code"),
-            F.lit(None).alias("brand"),
-            F.col("o_totalprice").alias("price"),
-            F.col("o_custkey").alias("user_id"),
-            F.concat_ws("-", F.col("o_custkey").cast("string"), day).alias("user_session"),
-        ),
-        RAW_EVENTS,
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    clicks = orders.selectExpr(
+        "o_orderdate AS event_time",
+        "CASE o_orderstatus WHEN 'O' THEN 'view' WHEN 'P' THEN 'cart' WHEN 'F' THEN 'purchase' END"
+        " AS event_type",
+        "o_orderkey AS product_id",
+        "o_orderkey % 5 AS category_id",
+        "IF(o_orderpriority = '4-NOT SPECIFIED', ' ', o_orderpriority) AS category_code",
+        "NULL AS brand",
+        "o_totalprice AS price",
+        "o_custkey AS user_id",
+        "concat_ws('-', o_custkey, date(o_orderdate)) AS user_session",
     )
+    return conform(clicks, RAW_EVENTS)
