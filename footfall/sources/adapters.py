@@ -11,8 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.schema import RAW_EVENTS, conform
 
 
+# Declared, so that opening a table costs no job.
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+ORDERS = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string"
+)
+
+
 def events_as_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     clicks = events.selectExpr(
         "*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k"
     ).selectExpr(
@@ -30,7 +40,7 @@ def events_as_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_as_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
     clicks = orders.selectExpr(
         "o_orderdate AS event_time",
         "CASE o_orderstatus WHEN 'O' THEN 'view' WHEN 'P' THEN 'cart' WHEN 'F' THEN 'purchase' END"
