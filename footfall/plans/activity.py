@@ -31,8 +31,14 @@ def _events() -> Column:
     return F.count(F.lit(1)).alias("events")
 
 
+def _did(stage: str) -> Column:
+    """1 for a known user with such an event; a group of unknown users is nobody."""
+    known = F.col("user_id").isNotNull()
+    return F.max(F.when(known & (F.col("event_type") == stage), 1).otherwise(0))
+
+
 def _bought() -> Column:
-    return F.max(F.when(_is_purchase(), 1).otherwise(0)).alias("bought")
+    return _did("purchase").alias("bought")
 
 
 def _spent() -> Column:
@@ -144,11 +150,8 @@ def day_lookup(events: DataFrame, day: dt.date) -> DataFrame:
 
 def weekly_conversion(events: DataFrame) -> DataFrame:
     """Viewers, buyers and buyers per viewer, by week."""
-    def any_of(stage: str) -> Column:
-        return F.max(F.when(F.col("event_type") == stage, 1).otherwise(0))
-
     user_weeks = events.groupBy(week_start(F.col("event_at")).alias("week"), "user_id").agg(
-        any_of("view").alias("viewed"), any_of("purchase").alias("bought")
+        _did("view").alias("viewed"), _bought()
     )
     weeks = user_weeks.groupBy("week").agg(
         F.sum("viewed").alias("viewers"), F.sum("bought").alias("buyers")

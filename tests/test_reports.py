@@ -69,6 +69,13 @@ def test_day_lookup_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(ts,2024-01-15T00:00" in plan and "LessThan(ts,2024-01-" in plan
 
 
+def test_unknown_users_are_not_counted(staged, rows):
+    events = staged((None, DAY, "purchase", 5), (None, DAY, "view"), (1, DAY, "view"))
+    assert rows(activity.kpi_summary(events)) == [(1, 0, 0, D("5.00"), 3)]
+    assert rows(activity.daily_activity(events)) == [(dt.date(2024, 1, 1), 1, 0, 3, D("5.00"))]
+    assert rows(activity.weekly_conversion(events)) == [(dt.date(2024, 1, 1), 1, 0, 0.0)]
+
+
 def test_weekly_conversion(staged, rows):
     events = staged(
         *[(u, "2024-01-01 00:00:00", "view") for u in range(32)], (1, "2024-01-07 00:00:00", "purchase"),
