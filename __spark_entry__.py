@@ -45,6 +45,17 @@ from footfall.sources import (
 )
 from footfall.sources.layers import STAGING_VIEW, TABLES
 
+try:
+    import corpus_pipeline
+    from footfall.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "footfall.llm"):
+        raise
+    CORPUS_QUERIES, CORPUS_SQL = {}, {}
+else:
+    CORPUS_QUERIES = corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    CORPUS_SQL = corpus_queries.ORACLE_SQL
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 
 ADAPTERS = {"": events_as_clicks, "_orders": orders_as_clicks}
@@ -174,7 +185,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda raw, stg, weeks=weeks: loyalty.retention_heatmap(retention(stg), weeks)
         )
         bound |= {name + suffix: _bind(adapter, q) for name, q in over.items()}
-    return bound
+    return bound | CORPUS_QUERIES
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -501,8 +512,8 @@ def _oracles(day: dt.date, weeks: range) -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every key of ``queries()``."""
-    return {
+    """DuckDB SQL for the keys of ``queries()`` that SQL can express."""
+    return CORPUS_SQL | {
         name + suffix: f"WITH raw AS ({raw}), {LAYERS_SQL} {body}"
         for suffix, raw in RAW_SQL.items()
         for name, body in _oracles(LOOKUP_DAY[suffix], HEATMAP_WEEKS[suffix]).items()
