@@ -70,8 +70,8 @@ def deal_blocks(quotas: DataFrame, seed: int, depth: int = DEPTH) -> DataFrame:
     return units.groupBy("source", "copy").agg(inside.getField("shard").alias("shards"))
 
 
-def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """The columns of ``docs`` as a struct ``doc``, with size, source_size, target, taken,
+def plan(docs: DataFrame, keep: list[str] | None = None, seed: int = 1) -> DataFrame:
+    """The columns of ``docs`` (or ``keep``) as a struct ``doc``, with size, source_size, target, taken,
     copies: an array of (copy, words, shard, place).
 
     A keyed hash deals a source's documents into pieces and orders them. ``taken`` counts the
@@ -84,8 +84,11 @@ def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
     order or the partitions of the input. The documents themselves are not shuffled: they meet
     one row per source and the documents of the pieces in which a target ends.
     """
-    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), n_words(F.col("text")).alias("size"))
-    sized = sized.select("*", F.col("doc.source").alias("source"), F.xxhash64(F.lit(seed), "doc.doc_id", "doc.text").alias("deal"))
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
+        n_words(F.col("text")).alias("size"),
+        "source", F.xxhash64(F.lit(seed), "doc_id", "text").alias("deal"),
+    )
     sized = sized.withColumn("piece", F.pmod("deal", F.lit(PIECES)).cast("int"))
     light = cut(sized.select("source", "size", "deal", "piece"), "sizes")
     pieces = light.groupBy("source", "piece").agg(F.sum("size").alias("words"))
@@ -158,7 +161,7 @@ def mix(docs: DataFrame, seed: int = 1) -> DataFrame:
 
     Shards are split further by the hash of the place, so that their size is no limit.
     """
-    copies = plan(docs, seed).select("doc", "size", F.inline("copies"))
+    copies = plan(docs, seed=seed).select("doc", "size", F.inline("copies"))
     text = F.when(F.col("words") == F.col("size"), F.col("doc.text")).otherwise(_first_words())
     out = copies.withColumn("text", text)
     spread = F.pmod("place", F.lit(64))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import bpe
 from .common import table
 from .minhash import near_duplicates
 from .mixing import plan
@@ -16,8 +17,15 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = plan(table(spark, sf_dir, "documents"))
+    planned = plan(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return planned.select("doc.doc_id", "size", "source_size", "target", "taken", "copies.shard")
 
 
@@ -26,7 +34,7 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minhash, op8_mixing, op10_syncmers)
+    f.__name__: f for f in (op2_minhash, op3_byte_bpe, op8_mixing, op10_syncmers)
 }
 
 ORACLE_SQL: dict[str, str] = {}
