@@ -11,6 +11,11 @@ from .common import table
 from .minhash import near_duplicates
 from .mixing import plan
 from .syncmers import edit_trial
+from .toxicity import toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +39,7 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minhash, op3_byte_bpe, op8_mixing, op10_syncmers)
+    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op8_mixing, op10_syncmers)
 }
 
 ORACLE_SQL: dict[str, str] = {}
