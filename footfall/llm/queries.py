@@ -10,6 +10,7 @@ from . import bpe
 from .common import table
 from .minhash import near_duplicates
 from .mixing import plan
+from .quality import classify
 from .syncmers import edit_trial
 from .toxicity import toxicity
 
@@ -29,6 +30,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    found = classify(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc.doc_id", "text_score", "meta_score", "score", "kept")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = plan(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return planned.select("doc.doc_id", "size", "source_size", "target", "taken", "copies.shard")
@@ -39,7 +46,7 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op8_mixing, op10_syncmers)
+    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op7_quality, op8_mixing, op10_syncmers)
 }
 
 ORACLE_SQL: dict[str, str] = {}
