@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe
 from .common import table
+from .lines import line_dedup
 from .minhash import near_duplicates
 from .mixing import plan
 from .quality import classify
@@ -30,6 +31,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     found = classify(docs, table(spark, sf_dir, "labels"))
@@ -46,7 +51,7 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op7_quality, op8_mixing, op10_syncmers)
+    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op7_quality, op8_mixing, op10_syncmers)
 }
 
 ORACLE_SQL: dict[str, str] = {}
