@@ -48,19 +48,30 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], turns: int = 2) -> DataFrame:
+def linked(
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    prepare: Callable[[DataFrame], object] | None = None,
+    bound: tuple[Callable[[DataFrame], DataFrame], str] | None = None,
+    turns: int = 2,
+) -> DataFrame:
     """Components under the links that ``verify`` keeps among pairs that share a bucket.
 
-    ``buckets`` holds (bucket, id) rows, ``verify`` filters (a, b) pairs with a < b. In each
-    turn the member that shares buckets with most others is a bucket's centre and meets all
-    members, from the second turn on the centre comes from what the first left unlinked. What
-    then still shares a bucket across two components meets in full, so no link between
-    components is lost. Returns (id, component_id) for every linked id.
+    ``buckets`` holds (bucket, id) rows, ``verify`` filters (a, b) pairs with a < b, and
+    ``prepare`` is called once with the ids that share a bucket at all. In each turn the member
+    that shares buckets with most others is a bucket's centre and meets all members, in the
+    second turn the centre comes from what the first left unlinked. What then still shares a
+    bucket across two components meets in full, so no link between components is lost; the
+    largest component of a bucket is not paired with itself. ``bound`` keeps pairs from that
+    last step that cannot be links: a function from (id) to (id, ...) rows, and a condition
+    over ``l`` and ``r`` with those columns. Returns (id, component_id) for every linked id.
     """
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = cut(buckets.join(sizes, "bucket"), "members")
     popular = members.groupBy("id").agg(F.sum("size").alias("popular"))
     members = cut(members.join(popular, "id").select("bucket", "id", "popular"), "members")
+    if prepare is not None:
+        prepare(members.select("id").distinct())
     edges = tested = parts = None
     for turn in range(turns + 1):
         now = members
@@ -71,13 +82,11 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], turns:
             now = now.withColumn("part", F.coalesce("part", "id"))
             mixed = now.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
             now = cut(now.join(mixed.select("bucket"), "bucket"), "open")
-        rank = F.struct("popular", -F.col("id"))
-        centre = now.groupBy("bucket").agg(F.max_by(F.struct("id", "part"), rank).alias("c"))
         if turn == turns:
-            left, right = now.alias("l"), now.alias("r")
-            pairs = left.join(right, "bucket").where("l.id < r.id AND l.part <> r.part")
-            pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+            pairs = _across(now, bound)
         else:
+            rank = F.struct("popular", -F.col("id"))
+            centre = now.groupBy("bucket").agg(F.max_by(F.struct("id", "part"), rank).alias("c"))
             if turn:
                 rest = now.join(centre, "bucket").where("part <> c.part")
                 centre = rest.groupBy("bucket").agg(F.max_by(F.struct("id", "part"), rank).alias("c"))
@@ -95,3 +104,17 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], turns:
         edges = found if edges is None else edges.union(found)
         parts = components(edges)
     return parts
+
+
+def _across(now: DataFrame, bound) -> DataFrame:
+    """Pairs (a, b) that share a bucket in different parts."""
+    condition = "l.part <> r.part AND (r.largest OR l.id < r.id)"
+    if bound is not None:
+        extra = cut(bound[0](now.select("id").distinct()), "bounds")
+        now = now.join(extra, "id")
+        condition = f"{condition} AND {bound[1]}"
+    count = now.groupBy("bucket", "part").agg(F.count("*").alias("n"))
+    top = count.groupBy("bucket").agg(F.max_by("part", F.struct("n", "part")).alias("top"))
+    now = cut(now.join(top, "bucket").withColumn("largest", F.col("part") == F.col("top")).drop("top"), "open")
+    pairs = now.where("NOT largest").alias("l").join(now.alias("r"), F.expr(f"l.bucket = r.bucket AND {condition}"))
+    return pairs.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))

@@ -97,7 +97,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-            ["doc_id", "shingles"],
+            ["id", "shingles"],
         )
 
 
@@ -124,18 +124,36 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     buckets = buckets.select(F.xxhash64("band", "key").alias("bucket"), "id").distinct()
     counts = classes.select("id", "n_shingles")
 
+    sets: list[DataFrame] = []
+
+    def prepare(ids: DataFrame) -> None:
+        # The one shuffle of texts; sets are made only of documents that share a band.
+        ids = ids.withColumnRenamed("id", "doc_id").hint("merge")
+        found = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>")
+        sets.append(cut(found, "sets"))
+
+    def bound(ids: DataFrame) -> DataFrame:
+        """How many shingles of a document any other of ``ids`` has too."""
+        each = sets[0].join(ids, "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
+        single = each.groupBy("shingle").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1")
+        single = single.groupBy("id").agg(F.count("*").alias("own"))
+        left = counts.join(ids, "id", "left_semi").join(single, "id", "left")
+        return left.select("id", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("common"))
+
+    # Both sets hold what they have in common, and nothing that only one document has.
+    most = "least(l.common, r.common)"
+    possible = f"100 * {most} >= {percent} * (l.n + r.n - {most})"
+
     def verify(pairs: DataFrame) -> DataFrame:
         for end in "ab":
             pairs = pairs.join(counts.select(F.col("id").alias(end), F.col("n_shingles").alias(f"n{end}")), end)
-        pairs = cut(pairs.where("100 * least(na, nb) >= 85 * greatest(na, nb)".replace("85", str(percent))), "sized")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = cut(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
+        pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b")
         for end in "ab":
-            pairs = pairs.join(sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"s{end}")), end)
+            pairs = pairs.join(sets[0].select(F.col("id").alias(end), F.col("shingles").alias(f"s{end}")), end)
         shared = F.size(F.array_intersect("sa", "sb"))
         return pairs.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
-    parts = linked(buckets, verify)
+    parts = linked(buckets, verify, prepare, (bound, possible))
     one, two, n = "one", "two", "n_shingles"
     # A null id never joins: its row keeps no class.
     by_set = classes.select(one, two, n, "id").join(parts, "id", "left")
