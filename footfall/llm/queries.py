@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from footfall.session import scratch_path
+
+from . import bpe, repair
 from .common import table
 from .lines import line_dedup
 from .minhash import near_duplicates
@@ -35,6 +37,16 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    path = scratch_path(spark, "ids")
+    repair.write_ids(table(spark, sf_dir, "documents"), tokenizer, path)
+    return repair.digest(repair.read_ids(spark, path))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     found = classify(docs, table(spark, sf_dir, "labels"))
@@ -51,7 +63,7 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op7_quality, op8_mixing, op10_syncmers)
+    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op7_quality, op8_mixing, op10_syncmers)
 }
 
 ORACLE_SQL: dict[str, str] = {}
