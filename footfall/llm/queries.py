@@ -10,6 +10,7 @@ from footfall.session import scratch_path
 
 from . import bpe, repair
 from .common import table
+from .hnsw import near_vectors
 from .lines import line_dedup
 from .minhash import near_duplicates
 from .mixing import plan
@@ -58,12 +59,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc.doc_id", "size", "source_size", "target", "taken", "copies.shard")
 
 
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_trial(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op7_quality, op8_mixing, op10_syncmers)
+    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op7_quality, op8_mixing, op9_hnsw, op10_syncmers)
 }
 
 ORACLE_SQL: dict[str, str] = {}
