@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.session import scratch_path
 
-from . import bpe, repair
+from . import bpe, repair, suffixes
 from .common import table
 from .hnsw import near_vectors
 from .lines import line_dedup
@@ -48,6 +48,10 @@ def op5_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digest(repair.read_ids(spark, path))
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     found = classify(docs, table(spark, sf_dir, "labels"))
@@ -68,7 +72,7 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op7_quality, op8_mixing, op9_hnsw, op10_syncmers)
+    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op6_suffixes, op7_quality, op8_mixing, op9_hnsw, op10_syncmers)
 }
 
 ORACLE_SQL: dict[str, str] = {}
