@@ -5,17 +5,17 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
-SLOTS = 1 << 17  # of the literal rank map
+TIMES = (1_640_531_527, 1_540_483_477)  # odd, below 2**31: products of 32-bit keys fit into a long
 NO_MERGE = 2**31 - 1
 HOT_WORDS = 1 << 19  # words with the most uses whose ids every worker gets: some 20 MB
 HOT_BYTES = 64  # of such a word at most
@@ -34,83 +34,84 @@ def words_of(text: Column, pattern: str) -> Column:
 
 
 class Ranks:
-    """The rank map as a literal, folded once when planning.
+    """The rank map as a literal, folded once when planning, over pairs of ids (an id is its
+    rank): the rank of a pair is that of the bytes of both together.
 
     Spark looks a key up in a map by a walk over all keys. So the literal is a hash table made
-    of two arrays, the keys and their ranks, in which a key is at one of two places that its
-    hash gives (cuckoo hashing). Bytes are held as strings of characters 0 to 255.
+    of two arrays, the keys and their ranks, in which a key is at one of two places that
+    products with two numbers give (cuckoo hashing).
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        keys: list[str | None] = [None] * SLOTS
-        for piece in ranks:
-            key, turns = piece.decode("latin-1"), 0
-            at = self._places(key)[0]
-            while key is not None:
+        if max(ranks.values(), default=0) >= 1 << 16 or any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError("ranks below 65536 and one for each byte are needed")
+        self.pairs = pairs = {
+            ranks[piece[:i]] << 16 | ranks[piece[i:]]: rank
+            for piece, rank in ranks.items()
+            for i in range(1, len(piece))
+            if piece[:i] in ranks and piece[i:] in ranks
+        }
+        self._bits = max(8, (2 * len(pairs)).bit_length())
+        keys: list[int] = [-1] * (1 << self._bits)
+        for key in pairs:
+            at, turns = self._places(key)[0], 0
+            while key >= 0:
                 key, keys[at] = keys[at], key
-                if key is not None:
+                if key >= 0:
                     one, two = self._places(key)
                     at, turns = one + two - at, turns + 1
-                    if turns > SLOTS:
-                        raise ValueError("more ranks than the table has room for")
-        found = [-1 if k is None else ranks[k.encode("latin-1")] for k in keys]
-        gap = "\u0100"  # no byte
+                    if turns > len(keys):
+                        raise ValueError("the pairs do not fit into the table")
         self._table = F.struct(
-            F.split(F.lit(gap.join(k or "" for k in keys)), gap).alias("keys"),
-            F.from_json(F.lit(json.dumps(found)), "array<int>").alias("ranks"),
+            F.from_json(F.lit(json.dumps(keys)), "array<bigint>").alias("keys"),
+            F.from_json(F.lit(json.dumps([pairs.get(k, 0) for k in keys])), "array<int>").alias("ranks"),
+            F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<int>").alias("bytes"),
         )
 
-    @staticmethod
-    def _places(key: str) -> tuple[int, int]:
-        h = xxhash.xxh64(key.encode(), seed=42).intdigest()
-        return h % SLOTS, (h >> 32) % SLOTS
-
-    def of(self, table: Column, piece: Column) -> Column:
-        def look(h: Column) -> Column:
-            one, two = (x.bitwiseAND(SLOTS - 1).cast("int") for x in (h, F.shiftrightunsigned(h, 32)))
-            return (
-                F.when(F.get(table["keys"], one) == piece, F.get(table["ranks"], one))
-                .when(F.get(table["keys"], two) == piece, F.get(table["ranks"], two))
-                .otherwise(NO_MERGE)
-            )
+    def _places(self, key: int) -> tuple[int, int]:
+        return tuple((key * m >> 31 - self._bits + 16) & ((1 << self._bits) - 1) for m in TIMES)
 
-        return F.when(piece.isNull(), NO_MERGE).otherwise(_at(F.xxhash64(piece), look))
+    def of(self, table: Column, left: Column, right: Column) -> Column:
+        """The rank of a pair, NO_MERGE if it has none or a side is null."""
+        key = F.shiftleft(left.cast("long"), 16).bitwiseOR(right.cast("long"))
+        one, two = (
+            F.shiftright(key * m, 31 - self._bits + 16).bitwiseAND((1 << self._bits) - 1).cast("int") for m in TIMES
+        )
+        return (
+            F.when(F.get(table["keys"], one) == key, F.get(table["ranks"], one))
+            .when(F.get(table["keys"], two) == key, F.get(table["ranks"], two))
+            .otherwise(NO_MERGE)
+        )
 
     def encode(self, word: Column) -> Column:
-        """Array of ids of a word: the pair of neighbours with the lowest rank, the leftmost
-        of equals, is merged until no pair has a rank. A word with a rank of its own is it."""
+        """Array of ids of a word: of its neighbours the pair with the lowest rank, the leftmost
+        of equals, is merged until no pair has a rank."""
         data = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-        return _at(self._table, lambda t: _at(data, lambda w: _at(
-            self.of(t, w), lambda own: F.when(own < NO_MERGE, F.array(own)).otherwise(self._fold(t, w))
-        )))
+        chars = F.filter(F.split(data, ""), lambda c: c != "")
+        return _at(self._table, lambda t: _at(F.transform(chars, lambda c: F.get(t["bytes"], F.ascii(c))), lambda x: self._fold(t, x)))
 
-    def _fold(self, table: Column, data: Column) -> Column:
-        parts = F.filter(F.split(data, ""), lambda x: x != "")
-        ranks = F.zip_with(parts, F.slice(parts, 2, F.length(data)), lambda a, b: self.of(table, F.concat(a, b)))
-        steps = F.sequence(F.lit(1), F.greatest(F.length(data) - 1, F.lit(1)))
-        done = F.aggregate(steps, F.struct(parts.alias("parts"), ranks.alias("ranks")), lambda state, _: self._merge(table, state))
-        return F.transform(done["parts"], lambda p: self.of(table, p))
+    def _fold(self, table: Column, parts: Column) -> Column:
+        ranks = F.zip_with(parts, F.slice(parts, 2, F.size(parts)), lambda a, b: self.of(table, a, b))
+        steps = F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1)))
+        start = F.struct(parts.alias("parts"), ranks.alias("ranks"))
+        return F.aggregate(steps, start, lambda state, _: self._merge(table, state))["parts"]
 
     def _merge(self, table: Column, state: Column) -> Column:
         parts, ranks = state["parts"], state["ranks"]
 
-        def at(i: Column) -> Column:
-            joint = F.concat(F.get(parts, i - 1), F.get(parts, i))
-
-            def put(joint: Column) -> Column:
-                before = F.when(i > 1, F.array(self.of(table, F.concat(F.get(parts, i - 2), joint)))).otherwise(F.array().cast("array<int>"))
-                return F.struct(
-                    F.concat(F.slice(parts, F.lit(1), i - 1), F.array(joint), F.slice(parts, i + 2, F.size(parts))).alias("parts"),
-                    F.concat(
-                        F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), before,
-                        F.array(self.of(table, F.concat(joint, F.get(parts, i + 1)))), F.slice(ranks, i + 2, F.size(ranks)),
-                    ).alias("ranks"),
-                )
-
-            return _at(joint, put)
+        def at(low: Column, i: Column) -> Column:
+            before = F.when(i > 1, F.array(self.of(table, F.get(parts, i - 2), low))).otherwise(F.array().cast("array<int>"))
+            return F.struct(
+                F.concat(F.slice(parts, F.lit(1), i - 1), F.array(low), F.slice(parts, i + 2, F.size(parts))).alias("parts"),
+                F.concat(
+                    F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), before,
+                    F.array(self.of(table, low, F.get(parts, i + 1))), F.slice(ranks, i + 2, F.size(ranks)),
+                ).alias("ranks"),
+            )
 
+        # The rank of the pair is the id of what it becomes.
         return _at(F.array_min(ranks), lambda low: F.when(low == NO_MERGE, state).otherwise(
-            _at(F.array_position(ranks, low).cast("int"), at)
+            _at(F.array_position(ranks, low).cast("int"), lambda i: at(low, i))
         ))
 
 
@@ -119,6 +120,17 @@ def _at(value: Column, build) -> Column:
     return F.element_at(F.transform(F.array(value), build), 1)
 
 
+def _lists_cut(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """Record batches cut so that the lists of a column have about ``most`` values together."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.list_value_length(batch.column(column)), np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def hot_words(words: DataFrame, most: int = HOT_WORDS) -> DataFrame:
     """(word) rows -> the distinct words used most, not more than ``most`` of them.
 
@@ -137,60 +149,76 @@ def hot_words(words: DataFrame, most: int = HOT_WORDS) -> DataFrame:
     return counts.where("false" if least is None else f"level >= {least}").select("word")
 
 
+def merge_word(data: bytes, single: list[int], pairs: dict[int, int]) -> list[int]:
+    """The same merges for one word, the next pair taken from a heap, so that a word of any
+    length takes steps in proportion to it (times a logarithm)."""
+    ids = [single[b] for b in data]
+    after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+    heap = [(rank, i) for i in range(len(ids) - 1) if (rank := pairs.get(ids[i] << 16 | ids[i + 1])) is not None]
+    heapify(heap)
+    while heap:
+        rank, i = heappop(heap)
+        j = after[i]
+        # An entry is stale if either side has been merged since.
+        if ids[i] < 0 or j >= len(ids) or pairs.get(ids[i] << 16 | ids[j]) != rank:
+            continue
+        ids[i], ids[j] = rank, -1
+        after[i] = k = after[j]
+        if k < len(ids):
+            before[k] = i
+            if (new := pairs.get(rank << 16 | ids[k])) is not None:
+                heappush(heap, (new, i))
+        h = before[i]
+        if h >= 0 and (new := pairs.get(ids[h] << 16 | rank)) is not None:
+            heappush(heap, (new, h))
+    return [i for i in ids if i >= 0]
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = HOT_WORDS) -> DataFrame:
     """(doc_id, text) -> (doc_id, ids), one row per row; a null text counts as empty, an empty
     text has no ids.
 
     Distinct words are counted over the whole corpus, and the merges are folded once for each
     of the words used most; their ids, bounded in number and length, go to every worker. Other
-    words are rare by that choice and are folded where they stand. So the documents are never
+    words are rare by that choice and are merged where they stand. So the documents are never
     shuffled, and no table that grows with them is broadcast.
     """
     spark = docs.sparkSession
     rank_map = Ranks(ranks)
     split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text"), pattern).alias("words"))
     hot = hot_words(split.select(F.explode("words").alias("word")), most)
-    known = hot.repartition(spark.sparkContext.defaultParallelism * 4).select("word", rank_map.encode(F.col("word")).alias("ids")).toArrow()
-    words = known.column("word").combine_chunks().cast(pa.large_string())
+    hot = hot.repartition(spark.sparkContext.defaultParallelism * 4)
+    known = hot.select("word", rank_map.encode(F.col("word")).alias("ids")).toArrow()
     lists = known.column("ids").combine_chunks()
     table = spark.sparkContext.broadcast((
-        words, np.asarray(lists.flatten(), np.int32), np.asarray(pc.list_value_length(lists), np.int64),
+        known.column("word").combine_chunks().cast(pa.large_string()), np.asarray(lists.flatten(), np.int32),
+        np.asarray(pc.list_value_length(lists), np.int32), [ranks[bytes([b])] for b in range(256)], rank_map.pairs,
     ))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ids, sizes = table.value
-        starts = np.cumsum(sizes) - sizes
-        for batch in batches:
+        words, ids, sizes, single, pairs = table.value
+        for batch in _lists_cut(batches, "words"):
             lists = batch.column("words")
-            each = np.asarray(pc.list_value_length(lists), np.int64)
             coded = lists.flatten().dictionary_encode()
-            which = np.asarray(coded.indices, np.int64)
-            found = pc.index_in(coded.dictionary.cast(pa.large_string()), value_set=words).fill_null(-1).to_numpy(zero_copy_only=False)
-            # A rare word has one negative place holder, its number among its document's rare words.
-            row = found[which]
-            rare = row < 0
-            count = np.where(rare, 1, sizes[row] if len(sizes) else 1)
+            row = pc.index_in(coded.dictionary.cast(pa.large_string()), value_set=words)
+            rare = coded.dictionary.filter(row.is_null()).to_pylist()
+            merged = [merge_word(w.encode(), single, pairs) for w in rare]
+            row = row.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            row[row < 0] = len(sizes) + np.arange(len(rare))
+            every = np.concatenate([ids, np.array([i for m in merged for i in m], np.int32)])
+            size = np.concatenate([sizes, np.array([len(m) for m in merged], np.int32)]).astype(np.int64)
+            start = np.cumsum(size) - size
+            row = row[np.asarray(coded.indices, np.int64)]
+            count = size[row]
             ends = np.cumsum(count)
-            flat = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count)
-            flat = flat + np.repeat(np.where(rare, 0, starts[row] if len(starts) else 0), count)
-            out = ids[np.minimum(flat, max(len(ids) - 1, 0))] if len(ids) else np.zeros(len(flat), np.int32)
-            doc_end = np.cumsum(each)
-            before = np.concatenate([[0], np.cumsum(rare)])
-            doc = np.repeat(np.arange(len(each)), each)
-            number = before[:-1] - before[doc_end - each][doc] if len(doc) else before[:-1]
-            out[(ends - count)[rare]] = -1 - number[rare]
-            bounds = np.concatenate([[0], ends])[np.concatenate([[0], doc_end])]
-            rest = coded.filter(pa.array(rare)).dictionary_decode().cast(pa.string())
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"),
-                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(out, pa.int32())),
-                pa.ListArray.from_arrays(pa.array(before[np.concatenate([[0], doc_end])], pa.int32()), rest),
-            ], ["doc_id", "ids", "rare"])
+            flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[row] - (ends - count), count)
+            docs = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), np.int64))])
+            bounds = np.concatenate([[0], ends])[docs]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(every[flat]))], ["doc_id", "ids"]
+            )
 
-    coded = split.mapInArrow(look_up, "doc_id long, ids array<int>, rare array<string>")
-    coded = coded.select("doc_id", "ids", F.transform("rare", rank_map.encode).alias("rare"))
-    full = F.flatten(F.transform("ids", lambda i: F.when(i < 0, F.get("rare", -1 - i)).otherwise(F.array(i))))
-    return coded.select("doc_id", F.when(F.size("rare") == 0, F.col("ids")).otherwise(full).alias("ids"))
+    return split.mapInArrow(look_up, "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -202,7 +230,7 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     table = tokens.sparkSession.sparkContext.broadcast(pa.array([p for p, _ in pieces], pa.large_binary()))
 
     def concatenate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _lists_cut(batches, "ids"):
             ids = batch.column("ids")
             each = np.asarray(pc.list_value_length(ids), np.int64)
             flat = ids.flatten()
