@@ -18,16 +18,18 @@ END = 1  # id that closes a document
 CHUNK = 1 << 20  # ids that share a grammar, about; a longer document stays whole
 FIRST_RULE = 1 << 16  # nonterminals start here, above the ids
 ROUNDS, PAIRS, LEAST = 5, 4096, 16  # of replacing; pairs in a round; uses of a pair
-CACHED = 400_000  # words that a task remembers
+SLICE = 8 << 20  # bytes of text encoded at once, about
 FILES = "shard int, chunk int, doc_ids array<long>, counts array<int>, n_ids long, rules binary, lengths binary, sequence binary"
 
 
 class Encoder:
-    """The tokenizers library, called once for each distinct word of a task.
+    """The tokenizers library, called once for each distinct word of a slice of texts.
 
-    Words are cut at blanks, tabs and line ends only: the tokenizer drops these and lets no
-    token cross them, so a text's ids are those of its words. New words go to the library in
-    one text, kept apart by its end-of-text token, whose id marks the cuts.
+    Words are cut at blanks, tabs and line ends, which the tokenizer drops and lets no token
+    cross, and between an ASCII letter or digit and one of ``.,;:!?``, where it always cuts;
+    A-Z are lower-cased, as it does first. So a text's ids are those of its words. Words go to
+    the library in two texts: those of the letters a-z alone have one end-of-word token each
+    and are kept apart by blanks, the others by the end-of-text token, whose id marks the cuts.
     """
 
     BETWEEN = "<|endoftext|>"
@@ -37,44 +39,52 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.between = self.tokenizer.token_to_id(self.BETWEEN)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.parts, self.sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "<|" not in w]
-        odd = [w for w in words if "<|" in w]
-        ids = np.array(self._ids(self.BETWEEN.join(plain)) if plain else [], np.int32)
-        cuts = np.flatnonzero(ids == self.between)
-        lists = [np.array(self._ids(w), np.int32) for w in odd]
-        sizes = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1 if plain else np.zeros(0, np.int64)
-        if len(sizes) != len(plain):
-            raise ValueError("a word holds the mark between words")
-        self.parts.append(np.concatenate([ids[ids != self.between], *lists]))
-        self.sizes.append(np.concatenate([sizes, [len(x) for x in lists]]).astype(np.int64))
-        for w in plain + odd:
-            self.known[w] = len(self.known)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, np.int32)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each word where its ids start and how many they are."""
+        plain = pc.match_substring_regex(words, r"^[a-z]+$").to_numpy(zero_copy_only=False)
+        parts, sizes = [], np.zeros(len(words), np.int64)
+        if plain.any():
+            ids = self._ids(" ".join(words.filter(pa.array(plain)).to_pylist()))
+            sizes[plain] = np.diff(np.append(-1, np.flatnonzero(self.closes[ids])))
+            parts.append(ids)
+        rest = words.filter(pa.array(~plain)).to_pylist()
+        if rest:
+            # A word may hold the text that marks the cuts.
+            odd = {i: self._ids(w) for i, w in enumerate(rest) if "<|" in w}
+            ids = self._ids(self.BETWEEN.join("" if i in odd else w for i, w in enumerate(rest)))
+            cuts = np.flatnonzero(ids == self.between)
+            size = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            ids = np.delete(ids, cuts)
+            at = np.cumsum(size)
+            if odd:
+                ids = np.concatenate([x for i, x in enumerate(np.split(ids, at[:-1])) for x in (odd.get(i, x),)])
+                size[list(odd)] = [len(x) for x in odd.values()]
+            sizes[~plain] = size
+            parts.append(ids)
+        # Back into the order of the words.
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        packed = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        starts = np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return packed, starts, sizes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has."""
-        lists = pc.split_pattern_regex(texts.fill_null("").cast(pa.large_string()), r"[ \t\n\r]+")
+        texts = pc.ascii_lower(texts.fill_null("").cast(pa.large_string()))
+        texts = pc.replace_substring_regex(texts, r"([a-z0-9])([.,;:!?])", r"\1 \2")
+        lists = pc.split_pattern_regex(texts, r"[ \t\n\r]+")
         each = np.asarray(pc.list_value_length(lists), np.int64)
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.known) > CACHED:
-            self._forget()
-        new = [w for w in words if w not in self.known]
-        if new:
-            self._learn(new)
-            self.parts, self.sizes = [np.concatenate(self.parts)], [np.concatenate(self.sizes)]
-        ids, sizes = self.parts[0], self.sizes[0]
-        starts = np.cumsum(sizes) - sizes
-        row = np.array([self.known[w] for w in words], np.int64)[np.asarray(coded.indices, np.int64)]
+        ids, starts, sizes = self._words(coded.dictionary)
+        row = np.asarray(coded.indices, np.int64)
         count = sizes[row]
         ends = np.cumsum(count)
         flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[row] - (ends - count), count)
@@ -104,8 +114,16 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(often) > PAIRS:
             often = np.sort(often[np.argsort(-uses[often], kind="stable")[:PAIRS]])
         chosen = ordered[at[often]]
-        place = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
-        hit = chosen[place] == pair
+        # A small table of hashes leaves few pairs to look up.
+        likely = np.zeros(1 << 16, bool)
+        likely[_short(chosen)] = True
+        maybe = np.flatnonzero(likely[_short(pair)])
+        found = np.minimum(np.searchsorted(chosen, pair[maybe]), len(chosen) - 1)
+        real = chosen[found] == pair[maybe]
+        hit = np.zeros(len(pair), bool)
+        hit[maybe[real]] = True
+        place = np.zeros(len(pair), np.int32)
+        place[maybe[real]] = found[real]
         index = np.arange(len(pair))
         run = np.maximum.accumulate(np.where(hit, 0, index + 1))
         take = np.flatnonzero(hit & ((index - run) % 2 == 0))
@@ -120,6 +138,10 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rules.astype("<i4"), lengths.astype("<i4"), sequence.astype("<i4")
 
 
+def _short(pairs: np.ndarray) -> np.ndarray:
+    return (pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+
+
 def _lengths(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """How many ids each symbol stands for."""
     if not len(lengths):
@@ -175,7 +197,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str) -> None:
             kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], [c.split()[0] for c in FILES.split(", ")])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             flat, each = encoder.encode(batch.column("text"))
             ids.append(np.insert(flat, np.cumsum(each), END))
             names, counts = names + batch.column("doc_id").to_pylist(), counts + (each + 1).tolist()
