@@ -7,11 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from footfall.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+SMALL = 1_000_000  # ids of 8 bytes
+
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
@@ -28,6 +31,13 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(ids: DataFrame, most: int = SMALL) -> DataFrame:
+    """A written table of single ids, to be broadcast if it is small when counted; if not, the
+    planner joins by a shuffle."""
+    ids = cut(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that a text column holds about ``most`` bytes in each; one longer
     text stays whole."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -66,8 +67,9 @@ def linked(
     last step that cannot be links: a function from (id) to (id, ...) rows, and a condition
     over ``l`` and ``r`` with those columns. Returns (id, component_id) for every linked id.
     """
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = cut(buckets.join(sizes, "bucket"), "members")
+    # A window sorts a bucket's rows, on disk if they are many: one exchange, no join.
+    size = F.count("*").over(W.partitionBy("bucket"))
+    members = cut(buckets.withColumn("size", size).where("size > 1"), "members")
     popular = members.groupBy("id").agg(F.sum("size").alias("popular"))
     members = cut(members.join(popular, "id").select("bucket", "id", "popular"), "members")
     if prepare is not None:

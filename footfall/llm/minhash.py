@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, joined, mixed, powers, random_words, slices
+from .common import cut, joined, mixed, powers, random_words, slices, small
 from .graph import linked
 
 SHINGLE = 5  # words
@@ -127,8 +127,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets: list[DataFrame] = []
 
     def prepare(ids: DataFrame) -> None:
-        # The one shuffle of texts; sets are made only of documents that share a band.
-        ids = ids.withColumnRenamed("id", "doc_id").hint("merge")
+        # Sets are made only of documents that share a band.
+        ids = small(ids.withColumnRenamed("id", "doc_id"))
         found = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>")
         sets.append(cut(found, "sets"))
 
