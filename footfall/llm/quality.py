@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import joined, slices
 from .minhash import word_hashes
-from .toxicity import logistic
+from .toxicity import Sparse, logistic
 
 TRAIN_ROWS = 12_000  # labelled rows, at most
 POOL_ROWS = 12_000  # rows without a label that the views exchange pseudo-labels on, at most
@@ -87,23 +87,20 @@ class View:
     bias: float
     scale: tuple[float, float] = (1.0, 0.0)
 
-    def matrix(self, x: np.ndarray, names: np.ndarray) -> np.ndarray:
-        rows, places = np.arange(len(x)), []
-        for i, j in enumerate(self.numbers):
-            places.append(i * (BINS + 1) + np.searchsorted(self.edges[i], x[:, j]))
+    def matrix(self, x: np.ndarray, names: np.ndarray) -> Sparse:
         base = len(self.numbers) * (BINS + 1)
+        places = [i * (BINS + 1) + np.searchsorted(self.edges[i], x[:, j]) for i, j in enumerate(self.numbers)]
         places += [base + k * HASHED + names[:, k] for k in range(self.names)]
-        out = np.zeros((len(x), base + self.names * HASHED), np.float32)
-        for p in places:
-            out[rows, p] = 1
-        return out
+        columns = np.stack(places, axis=1).ravel()
+        rows = np.repeat(np.arange(len(x)), len(places))
+        return Sparse(rows, columns, np.ones(len(rows)), (len(x), base + self.names * HASHED))
 
     def fit(self, x: np.ndarray, names: np.ndarray, y: np.ndarray) -> None:
         self.weights, self.bias = logistic(self.matrix(x, names), y, penalty=1e-3)
 
     def logit(self, x: np.ndarray, names: np.ndarray) -> np.ndarray:
         a, b = self.scale
-        return a * (self.matrix(x, names) @ self.weights + self.bias) + b
+        return a * (self.matrix(x, names).times(self.weights) + self.bias) + b
 
 
 def _view(numbers: range, names: int, x: np.ndarray) -> View:
@@ -187,7 +184,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, pool: int
     if hold.sum() >= 50 and 0 < y[hold].sum() < hold.sum():
         for view in (text, meta):
             z = view.logit(x[hold], names[hold])
-            a, b = logistic((z[:, None]).astype(np.float32), y[hold], penalty=1e-3, steps=2000)
+            one = Sparse(np.arange(len(z)), np.zeros(len(z), np.int64), z, (len(z), 1))
+            a, b = logistic(one, y[hold], penalty=1e-3, steps=2000)
             view.scale = (float(a[0]), float(b))
     model = Model(text, meta, prior, REJECT_BELOW)
     kept = model.scores(x[hold], names[hold])[y[hold] == 1, 2]

@@ -148,28 +148,42 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     rows_ = grams.join(F.broadcast(keep), "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams"))
     lists = sample.select("doc_id", "toxic").join(rows_, "doc_id", "left").toArrow()
     y = np.asarray(lists["toxic"], np.float64)
-    x = np.zeros((len(y), len(chosen)), np.float32)
-    for i, found in enumerate(lists["grams"].to_pylist()):
-        if found:
-            at = np.searchsorted(chosen, np.array(found, np.int64).view(np.uint64))
-            x[i, at] = ratio[at]
-    weights, bias = logistic(x, y)
+    found = [np.array(g or [], np.int64).view(np.uint64) for g in lists["grams"].to_pylist()]
+    at = np.searchsorted(chosen, np.concatenate(found))
+    row = np.repeat(np.arange(len(y)), [len(g) for g in found])
+    weights, bias = logistic(Sparse(row, at, ratio[at], (len(y), len(chosen))), y)
     return Model(chosen, weights * ratio, bias)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 400) -> tuple[np.ndarray, float]:
+@dataclass
+class Sparse:
+    """A matrix as (row, column, value) triples."""
+
+    rows: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+    shape: tuple[int, int]
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, self.values * w[self.columns], self.shape[0])
+
+    def back(self, s: np.ndarray) -> np.ndarray:
+        return np.bincount(self.columns, self.values * s[self.rows], self.shape[1])
+
+
+def logistic(x: Sparse, y: np.ndarray, penalty: float = 1e-4, steps: int = 400) -> tuple[np.ndarray, float]:
     """Logistic regression by accelerated gradient descent. Deterministic."""
-    n = len(y)
-    w, b = np.zeros(x.shape[1]), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
+    n, k = x.shape
+    w, b = np.zeros(k), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     ahead, ahead_b, pace = w, b, 1.0
-    v = np.ones(x.shape[1]) / max(x.shape[1], 1) ** 0.5
+    v = np.ones(k) / max(k, 1) ** 0.5
     for _ in range(20):  # the largest curvature
-        v = x.T @ (x @ v)
+        v = x.back(x.times(v))
         v /= max(np.linalg.norm(v), 1e-12)
-    rate = 1 / (0.25 * (np.linalg.norm(x @ v) ** 2 / n + 1) + penalty)
+    rate = 1 / (0.25 * (np.linalg.norm(x.times(v)) ** 2 / n + 1) + penalty)
     for _ in range(steps):
-        slope = 1 / (1 + np.exp(-(x @ ahead + ahead_b))) - y
-        new_w = ahead - rate * (x.T @ slope / n + penalty * ahead)
+        slope = 1 / (1 + np.exp(-np.clip(x.times(ahead) + ahead_b, -500, 500))) - y
+        new_w = ahead - rate * (x.back(slope) / n + penalty * ahead)
         new_b = ahead_b - rate * slope.mean()
         new_pace = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
         ahead = new_w + (pace - 1) / new_pace * (new_w - w)
