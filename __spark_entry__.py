@@ -12,6 +12,7 @@ roll-ups, rounding in integers instead of decimals.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,19 +32,22 @@ from footfall.operators import (
     unique,
 )
 from footfall.plans import activity, conversion, loyalty
+from footfall.plans.daily import build_marts, check_layers
 from footfall.schema import RAW_EVENTS, STAGES
 from footfall.session import scratch_path
 from footfall.sources import (
+    create_layers,
     events_as_clicks,
     export_snapshots,
     load_report,
     orders_as_clicks,
     query,
     read_events_csv,
+    reload_raw_events,
     snapshot_manifest,
     write_layout,
 )
-from footfall.sources.layers import STAGING_VIEW, TABLES
+from footfall.sources.layers import RAW_TABLE, STAGING_VIEW, TABLES
 
 try:
     import corpus_pipeline
@@ -61,9 +65,6 @@ ENTRY_DIR = "/root/testdata/sf0.001"
 ADAPTERS = {"": events_as_clicks, "_orders": orders_as_clicks}
 LOOKUP_DAY = {"": dt.date(2024, 1, 15), "_orders": dt.date(1998, 6, 15)}
 
-# The weeks that the dates of each table span.
-HEATMAP_WEEKS = {"": range(5), "_orders": range(345)}
-
 
 # --- queries -----------------------------------------------------------------------------
 
@@ -84,6 +85,7 @@ OVER_EVENTS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "session_averages": lambda raw, stg: activity.session_averages(sessionize(stg)),
     "retention_curve": lambda raw, stg: loyalty.retention_curve(retention(stg)),
     "retention_matrix": lambda raw, stg: loyalty.retention_matrix(retention(stg)),
+    "retention_heatmap": lambda raw, stg: loyalty.heatmap_cells(retention(stg)),
     "best_cohorts_w1": lambda raw, stg: loyalty.best_cohorts(retention(stg)),
     "kpi_summary": lambda raw, stg: activity.kpi_summary(stg),
     "kpi_ratios": lambda raw, stg: activity.kpi_ratios(stg),
@@ -101,6 +103,9 @@ OVER_EVENTS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "user_sample": lambda raw, stg: sample_users(raw),
     "sample_fidelity": lambda raw, stg: sample_fidelity(sample_users(raw), raw),
     "csv_load": lambda raw, stg: _csv_load(raw),
+    "raw_reload": lambda raw, stg: _raw_reload(raw),
+    "daily_rebuild": lambda raw, stg: _daily_rebuild(raw),
+    "partitioned_funnel": lambda raw, stg: _partitioned(funnel(stg), "funnel"),
     "partitioned_sessions": lambda raw, stg: _partitioned(sessionize(stg), "sessions"),
     "partitioned_cohort": lambda raw, stg: _partitioned(assign_cohorts(stg), "cohort"),
     "partitioned_retention": lambda raw, stg: _partitioned(retention(stg), "retention"),
@@ -123,6 +128,30 @@ def _check_suite(raw: DataFrame, stg: DataFrame) -> DataFrame:
 
 def _csv_load(raw: DataFrame) -> DataFrame:
     """Out to CSV with the zone suffix, an extra column and another column order, and back."""
+    return read_events_csv(raw.sparkSession, _csv_file(raw))
+
+
+def _fresh_layers(raw: DataFrame) -> str:
+    """A set of layers of its own with the events loaded from CSV; returns its prefix."""
+    prefix = f"t{uuid.uuid4().hex[:12]}_"
+    create_layers(raw.sparkSession, prefix)
+    reload_raw_events(raw.sparkSession, _csv_file(raw), prefix)
+    return prefix
+
+
+def _raw_reload(raw: DataFrame) -> DataFrame:
+    """The raw table after a load from CSV."""
+    return raw.sparkSession.table(_fresh_layers(raw) + RAW_TABLE).drop("ingested_at")
+
+
+def _daily_rebuild(raw: DataFrame) -> DataFrame:
+    """Load, staging view and marts as tables, then the outcome of all checks on them."""
+    prefix = _fresh_layers(raw)
+    build_marts(raw.sparkSession, prefix)
+    return check_layers(raw.sparkSession, prefix)
+
+
+def _csv_file(raw: DataFrame) -> str:
     path = scratch_path(raw.sparkSession, "csv")
     stamped = F.concat(F.col("event_time").cast("string"), F.lit(" UTC")).alias("event_time")
     others = [c for c in reversed(RAW_EVENTS) if c != "event_time"]
@@ -130,14 +159,13 @@ def _csv_load(raw: DataFrame) -> DataFrame:
         path, header=True, escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    return read_events_csv(raw.sparkSession, path)
+    return path
 
 
 def _partitioned(table: DataFrame, name: str) -> DataFrame:
     spark = table.sparkSession
     path = scratch_path(spark, name)
-    # A fixed number keeps all cores writing; thousands of small days fold into few tasks else.
-    write_layout(table, name, path, files=spark.sparkContext.defaultParallelism)
+    write_layout(table, name, path, files=int(spark.conf.get("spark.sql.shuffle.partitions")))
     return spark.read.parquet(path)
 
 
@@ -151,7 +179,7 @@ def _snapshots(stg: DataFrame, manifest: bool) -> DataFrame:
     }
     if not manifest:
         export_snapshots(layers, path, ["daily_activity"])
-        return load_report(spark, "daily_activity", path)
+        return load_report(spark, "daily_activity", path, live=False)
     export_snapshots(layers, path)
     # File sizes differ from run to run.
     return snapshot_manifest(spark, path).drop("bytes")
@@ -179,11 +207,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     bound = {}
     for suffix, adapter in ADAPTERS.items():
         over = dict(OVER_EVENTS)
-        day, weeks = LOOKUP_DAY[suffix], HEATMAP_WEEKS[suffix]
+        day = LOOKUP_DAY[suffix]
         over["day_lookup"] = lambda raw, stg, day=day: activity.day_lookup(stg, day)
-        over["retention_heatmap"] = (
-            lambda raw, stg, weeks=weeks: loyalty.retention_heatmap(retention(stg), weeks)
-        )
         bound |= {name + suffix: _bind(adapter, q) for name, q in over.items()}
     return bound | CORPUS_QUERIES
 
@@ -391,7 +416,7 @@ def _pivot_sql(weeks: range, value: str, column: str) -> str:
     )
 
 
-def _oracles(day: dt.date, weeks: range) -> dict[str, str]:
+def _oracles(day: dt.date) -> dict[str, str]:
     retention_all = f"SELECT {RETENTION_COLUMNS} FROM retention"
     return {
         "stg_events": f"SELECT {STG_COLUMNS} FROM stg",
@@ -449,9 +474,7 @@ def _oracles(day: dt.date, weeks: range) -> dict[str, str]:
             FROM funnel""",
         "funnel_chart": """
             SELECT concat(upper(stage[1]), stage[2:]) AS stage_label, users, pct_of_top FROM funnel""",
-        "retention_heatmap": f"""
-            SELECT cohort_week, {_pivot_sql(weeks, "retention_rate * 100", "{}")}
-            FROM retention GROUP BY cohort_week""",
+        "retention_heatmap": "SELECT cohort_week, week_number, retention_rate * 100 AS pct FROM retention",
         "retention_curve_pct": """
             SELECT week_number, retention_rate, retention_rate * 100 AS retention_pct FROM curve""",
         "retention_drop_pp": """
@@ -493,6 +516,12 @@ def _oracles(day: dt.date, weeks: range) -> dict[str, str]:
             SELECT event_time, event_type, product_id, category_id,
                    nullif(category_code, '') AS category_code, brand, price, user_id, user_session
             FROM raw""",
+        "raw_reload": """
+            SELECT event_time, event_type, product_id, category_id,
+                   nullif(category_code, '') AS category_code, brand, price, user_id, user_session
+            FROM raw""",
+        "daily_rebuild": _check_sql(),
+        "partitioned_funnel": "SELECT stage, stage_order, users, pct_of_top, pct_of_prev FROM funnel",
         "partitioned_sessions": "SELECT *, CAST(session_start AS DATE) AS session_date FROM sessions",
         "partitioned_cohort": "SELECT * FROM cohort",
         "partitioned_retention": retention_all,
@@ -516,5 +545,5 @@ def oracle_sql() -> dict[str, str]:
     return CORPUS_SQL | {
         name + suffix: f"WITH raw AS ({raw}), {LAYERS_SQL} {body}"
         for suffix, raw in RAW_SQL.items()
-        for name, body in _oracles(LOOKUP_DAY[suffix], HEATMAP_WEEKS[suffix]).items()
+        for name, body in _oracles(LOOKUP_DAY[suffix]).items()
     }

@@ -1,7 +1,7 @@
 """DataFrame-to-DataFrame operators. None of them runs a Spark action."""
 
 from footfall.operators.cohorts import assign_cohorts
-from footfall.operators.funnel import first_touch, funnel
+from footfall.operators.funnel import first_touch, funnel, funnel_from_weeks, user_weeks
 from footfall.operators.quality import (
     CHECKS,
     Check,
@@ -11,7 +11,7 @@ from footfall.operators.quality import (
     run_checks,
     unique,
 )
-from footfall.operators.retention import retention
+from footfall.operators.retention import retention, retention_from_weeks
 from footfall.operators.sampling import sample_fidelity, sample_users
 from footfall.operators.sessions import sessionize
 from footfall.operators.staging import stage_events, staging_sql
@@ -23,9 +23,11 @@ __all__ = [
     "assign_cohorts",
     "first_touch",
     "funnel",
+    "funnel_from_weeks",
     "not_null",
     "require_passing",
     "retention",
+    "retention_from_weeks",
     "run_checks",
     "sample_fidelity",
     "sample_users",
@@ -33,4 +35,5 @@ __all__ = [
     "stage_events",
     "staging_sql",
     "unique",
+    "user_weeks",
 ]

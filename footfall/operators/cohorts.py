@@ -9,9 +9,10 @@ from footfall.functions import month_start, week_start
 from footfall.schema import COHORT, conform
 
 
-def assign_cohorts(events: DataFrame) -> DataFrame:
-    """One row per user: first event and the week and month it falls in."""
-    first = events.groupBy("user_id").agg(F.min("event_at").alias("first_event_at"))
+def assign_cohorts(events: DataFrame, at: str = "event_at") -> DataFrame:
+    """One row per user: first event and the week and month it falls in. ``at`` names the time;
+    rows may be folded as long as each user's first time is among them."""
+    first = events.groupBy("user_id").agg(F.min(at).alias("first_event_at"))
     return conform(
         first.withColumns({
             "cohort_week": week_start(F.col("first_event_at")),

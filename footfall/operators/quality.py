@@ -93,25 +93,45 @@ def _outcome(check: Check, failures: Column) -> Column:
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS) -> DataFrame:
     """One row per check with its number of failures, as one lazy DataFrame.
 
-    All checks of a table share a single aggregate pass, except ``unique``, which needs the
-    values grouped.
+    All checks of a table share one pass. A ``unique`` check needs its values grouped; the
+    row checks ride along as partial sums. Only a second ``unique`` column of a table, or
+    ``accepted_values`` beside ``unique``, takes another pass.
     """
     results = []
     for table, group in groupby(sorted(checks, key=lambda c: c.table), key=lambda c: c.table):
-        df = tables[table]
-        mine = list(group)
-        in_row = [c for c in mine if c.kind != "unique"]
-        if in_row:
-            one_row = df.agg(*[_failures(c).alias(f"check_{i}") for i, c in enumerate(in_row)])
-            rows = [_outcome(c, F.col(f"check_{i}")) for i, c in enumerate(in_row)]
-            results.append(one_row.select(F.inline(F.array(*rows))))
-        for check in (c for c in mine if c.kind == "unique"):
-            repeated = unique(df, check.column).agg(F.count(F.lit(1)).alias("n"))
-            results.append(repeated.select(F.inline(F.array(_outcome(check, F.col("n"))))))
+        df, mine = tables[table], list(group)
+        unique_on = [c for c in mine if c.kind == "unique"]
+        nulls = [c for c in mine if c.kind == "not_null"]
+        apart = [c for c in mine if c not in unique_on and c not in nulls]
+        if unique_on:
+            results.append(_grouped(df, unique_on[0], nulls))
+        else:
+            apart = nulls + apart
+        if apart:
+            results.append(_in_one_row(df.agg(*[_failures(c).alias(f"check_{i}") for i, c in enumerate(apart)]), apart))
+        results += [_grouped(df, check, []) for check in unique_on[1:]]
+    if not results:
+        raise ValueError("no checks")
     union = reduce(DataFrame.unionByName, results)
     return union.withColumn("passed", F.col("failures") == 0)
 
 
+def _in_one_row(one_row: DataFrame, checks: list[Check]) -> DataFrame:
+    rows = [_outcome(c, F.col(f"check_{i}")) for i, c in enumerate(checks)]
+    return one_row.select(F.inline(F.array(*rows)))
+
+
+def _grouped(df: DataFrame, check: Check, nulls: list[Check]) -> DataFrame:
+    """A unique check and the table's not_null checks from one grouping."""
+    value = F.col(check.column).alias("value")
+    partial = [F.count_if(F.col(c.column).isNull()).alias(f"null_{i}") for i, c in enumerate(nulls)]
+    groups = df.groupBy(value).agg(F.count(F.lit(1)).alias("n"), *partial)
+    zero = F.lit(0).cast("bigint")
+    totals = [F.coalesce(F.sum(f"null_{i}"), zero).alias(f"check_{i + 1}") for i in range(len(nulls))]
+    repeated = F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("check_0")
+    return _in_one_row(groups.agg(repeated, *totals), [check, *nulls])
+
+
 def require_passing(results: DataFrame) -> None:
     """Raise when a check failed. Collects at most one row per declared check."""
     failed = results.where(~F.col("passed")).collect()

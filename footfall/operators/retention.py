@@ -14,6 +14,11 @@ def _user_weeks(events: DataFrame) -> DataFrame:
     return events.select("user_id", week_start(F.col("event_at")).alias("activity_week")).distinct()
 
 
+def retention_from_weeks(weeks: DataFrame) -> DataFrame:
+    """Retention from distinct (user_id, activity_week) rows, such as ``user_weeks`` gives."""
+    return _rates(_cells_from_first_week(weeks.select("user_id", "activity_week")))
+
+
 def retention(events: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
     """Users of a cohort week active ``week_number`` weeks later, and their share of it.
 
@@ -24,18 +29,20 @@ def retention(events: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
     ``cohort`` (say, a written table) its weeks are used and users outside it are left out.
     """
     if cohort is None:
-        cells = _cells_from_first_week(events)
-    else:
-        cells = _cells_from_cohort(events, cohort)
+        return _rates(_cells_from_first_week(_user_weeks(events)))
+    return _rates(_cells_from_cohort(events, cohort))
+
+
+def _rates(cells: DataFrame) -> DataFrame:
     rate = rounded_ratio(F.col("retained_users"), F.col("cohort_users"), 4)
     return conform(cells.withColumn("retention_rate", rate), RETENTION)
 
 
-def _cells_from_first_week(events: DataFrame) -> DataFrame:
+def _cells_from_first_week(weeks: DataFrame) -> DataFrame:
     first_week = F.min("activity_week").over(Window.partitionBy("user_id"))
     weeks_in = weeks_between(F.col("activity_week"), F.col("cohort_week"))
     cells = (
-        _user_weeks(events)
+        weeks
         .withColumn("cohort_week", first_week)
         .groupBy("cohort_week", weeks_in.alias("week_number"))
         .agg(F.count(F.lit(1)).alias("retained_users"))

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.operators import (
     assign_cohorts,
-    funnel,
+    funnel_from_weeks,
     require_passing,
-    retention,
+    retention_from_weeks,
     run_checks,
     sessionize,
+    user_weeks,
 )
 from footfall.sources.layers import (
     RAW_TABLE,
@@ -22,24 +23,28 @@ from footfall.sources.layers import (
 )
 from footfall.sources.warehouse import write_layout
 
+USER_WEEKS = "intermediate.user_weeks"
 
-def build_marts(spark: SparkSession) -> None:
+
+def build_marts(spark: SparkSession, prefix: str = "") -> None:
     """Rebuild the staging view and every table behind it.
 
-    Staging stays a view: each mart reads just its few columns from the raw table, which costs
-    less than keeping all staged columns in memory.
+    Staging stays a view. The events are read twice: for sessions, and folded to a row per
+    user and week, written once, from which cohorts, funnel and retention come.
     """
-    events = replace_staging_view(spark)
-    replace_table(sessionize(events), TABLES["sessions"])
-    replace_table(assign_cohorts(events), TABLES["cohort"])
-    replace_table(funnel(events), TABLES["funnel"])
-    replace_table(retention(events), TABLES["retention"])
+    events = replace_staging_view(spark, prefix)
+    table = {name: prefix + full for name, full in TABLES.items()}
+    replace_table(sessionize(events), table["sessions"])
+    weeks = replace_table(user_weeks(events), prefix + USER_WEEKS)
+    replace_table(assign_cohorts(weeks, "first_event_at"), table["cohort"])
+    replace_table(funnel_from_weeks(weeks), table["funnel"])
+    replace_table(retention_from_weeks(weeks), table["retention"])
 
 
-def check_layers(spark: SparkSession) -> DataFrame:
-    tables = {name: spark.table(table) for name, table in TABLES.items()}
-    tables["events_raw"] = spark.table(RAW_TABLE)
-    tables["stg_events"] = replace_staging_view(spark)
+def check_layers(spark: SparkSession, prefix: str = "") -> DataFrame:
+    tables = {name: spark.table(prefix + table) for name, table in TABLES.items()}
+    tables["events_raw"] = spark.table(prefix + RAW_TABLE)
+    tables["stg_events"] = replace_staging_view(spark, prefix)
     return run_checks(tables)
 
 
@@ -52,13 +57,13 @@ def publish(spark: SparkSession, out_dir: str) -> None:
         write_layout(spark.table(table), name, f"{out_dir}/{name}")
 
 
-def run_daily(spark: SparkSession, csv_path: str) -> int:
+def run_daily(spark: SparkSession, csv_path: str, prefix: str = "") -> int:
     """Rebuild everything from the CSV; raises when a data-quality check fails.
 
     Returns the number of raw rows loaded.
     """
-    create_layers(spark)
-    rows = reload_raw_events(spark, csv_path)
-    build_marts(spark)
-    require_passing(check_layers(spark))
+    create_layers(spark, prefix)
+    rows = reload_raw_events(spark, csv_path, prefix)
+    build_marts(spark, prefix)
+    require_passing(check_layers(spark, prefix))
     return rows

@@ -38,14 +38,20 @@ def retention_matrix(retention: DataFrame, weeks: Sequence[int] = (0, 1, 2, 3, 4
     )
 
 
+def heatmap_cells(retention: DataFrame) -> DataFrame:
+    """Retention in percent, a row per cohort and week that occurs: all cells of the heat map,
+    in columns that do not depend on the data."""
+    pct = (F.col("retention_rate") * 100).alias("pct")
+    return retention.select("cohort_week", "week_number", pct).orderBy("cohort_week", "week_number")
+
+
 def retention_heatmap(retention: DataFrame, weeks: Sequence[int] | None = None) -> DataFrame:
     """Retention in percent, cohorts by weeks, one column per week that occurs.
 
     The columns of a frame must be known before it runs. Give ``weeks`` when they are known;
     otherwise Spark runs the retention plan once to find them, so hand in a written table.
     """
-    cells = retention.select("cohort_week", "week_number", (F.col("retention_rate") * 100).alias("pct"))
-    by_week = cells.groupBy("cohort_week").pivot("week_number", None if weeks is None else list(weeks))
+    by_week = heatmap_cells(retention).groupBy("cohort_week").pivot("week_number", None if weeks is None else list(weeks))
     return by_week.agg(F.first("pct")).orderBy("cohort_week")
 
 

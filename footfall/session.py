@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,11 +34,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path every executor can reach, under the folder in ``spark.checkpoint.dir``.
 
     Only a local-mode session, where driver and executors are one process, may fall
-    back to a machine-local temporary folder.
+    back to a machine-local temporary folder, which goes when the process ends. Folders on
+    shared storage stay until the caller, who chose the place, removes them.
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared:
         return f"{shared.rstrip('/')}/footfall-{uuid.uuid4().hex}/{label}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    return f"{tempfile.mkdtemp(prefix='footfall-')}/{label}"
+    folder = tempfile.mkdtemp(prefix="footfall-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"{folder}/{label}"

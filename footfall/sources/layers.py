@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,24 +25,57 @@ TABLES = {
 }
 
 
-def create_layers(spark: SparkSession) -> None:
+def create_layers(spark: SparkSession, prefix: str = "") -> None:
+    """``prefix`` stands before the database names, so that several sets of layers can share a
+    catalog."""
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
 
 
 def replace_table(df: DataFrame, table: str) -> DataFrame:
-    """Full rebuild: the table holds this frame and nothing else. Running it again gives the
-    same table, so a run that was cut short is simply repeated."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Full rebuild: the table holds this frame and nothing else.
 
-
-def replace_staging_view(spark: SparkSession) -> DataFrame:
-    spark.sql(f"CREATE OR REPLACE VIEW {STAGING_VIEW} AS {staging_sql(RAW_TABLE)}")
-    return spark.table(STAGING_VIEW)
-
-
-def reload_raw_events(spark: SparkSession, path: str, **options: object) -> int:
+    The rows are written aside and the table is pointed to them when they are complete, so a
+    run that fails leaves the earlier rows in place, a table can be rebuilt from itself, and a
+    run that was cut short is simply repeated. The earlier files go last.
+    """
+    spark = df.sparkSession
+    database, name = table.split(".")
+    home = spark.catalog.getDatabase(database).locationUri
+    path = f"{home}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    earlier = None
+    if spark.catalog.tableExists(table):
+        earlier = _location(spark, table)
+        if spark.table(table).schema.simpleString() == df.schema.simpleString():
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        else:
+            spark.sql(f"DROP TABLE {table}")
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+    spark.catalog.refreshTable(table)
+    if earlier:
+        _remove(spark, earlier)
+    return spark.table(table)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return facts.first()["data_type"]
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def replace_staging_view(spark: SparkSession, prefix: str = "") -> DataFrame:
+    view = prefix + STAGING_VIEW
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {staging_sql(prefix + RAW_TABLE)}")
+    return spark.table(view)
+
+
+def reload_raw_events(spark: SparkSession, path: str, prefix: str = "", **options: object) -> int:
     """Replace the raw table with the CSV, stamped with the load time. Returns the row count.
 
     The count comes from the footers of the written files. A counter filled while writing
@@ -49,8 +83,8 @@ def reload_raw_events(spark: SparkSession, path: str, **options: object) -> int:
     """
     events = read_events_csv(spark, path, **options)
     stamped = events.withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-    rows = replace_table(stamped, RAW_TABLE).count()
-    log.info("%d rows loaded into %s from %s", rows, RAW_TABLE, path)
+    rows = replace_table(stamped, prefix + RAW_TABLE).count()
+    log.info("%d rows loaded into %s from %s", rows, prefix + RAW_TABLE, path)
     return rows
 
 

@@ -80,10 +80,10 @@ def snapshot_manifest(spark: SparkSession, out_dir: str, names: Iterable[str] =
     ).fillna("total", ["snapshot"])
 
 
-def load_report(spark: SparkSession, name: str, snapshot_dir: str) -> DataFrame:
-    """A named report: live from its layer table when that exists, else from its snapshot."""
+def load_report(spark: SparkSession, name: str, snapshot_dir: str, live: bool) -> DataFrame:
+    """A named report, as the caller decides: live from its layer table, or its snapshot."""
     report = REPORTS[name]
-    if spark.catalog.tableExists(report.table):
+    if live:
         return report.build(spark.table(report.table))
     try:
         return spark.read.parquet(f"{snapshot_dir}/{name}")
@@ -91,5 +91,5 @@ def load_report(spark: SparkSession, name: str, snapshot_dir: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(
-            f"neither table {report.table} nor snapshot {snapshot_dir}/{name} exists"
+            f"snapshot {snapshot_dir}/{name} does not exist"
         ) from e

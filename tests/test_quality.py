@@ -88,3 +88,37 @@ def test_sample_fidelity(spark, rows):
     got = {r.event_type: tuple(r)[1:] for r in sample_fidelity(sample, full).collect()}
     assert got == {"view": (6, 1, 0.6, 0.5, pytest.approx(0.1)), "cart": (2, 0, 0.2, 0.0, 0.2),
                    None: (2, 1, 0.2, 0.5, 0.3)}
+
+
+def test_a_fraction_that_keeps_no_bucket_is_an_error(spark):
+    events = spark.range(10).withColumnRenamed("id", "user_id")
+    with pytest.raises(ValueError, match="fraction"):
+        sample_users(events, fraction=0.00004)
+    assert sample_users(events, fraction=0).count() == 0
+
+
+def _scans(df, kind):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count(kind)
+
+
+def test_checks_and_fidelity_read_each_table_once(spark, tmp_path):
+    import __spark_entry__ as driver
+
+    queries = driver.queries()
+    assert _scans(queries["check_suite"](spark, "/root/testdata/sf0.001"), "FileScan") == 6
+    assert _scans(queries["sample_fidelity"](spark, "/root/testdata/sf0.001"), "FileScan") == 2
+
+
+def test_unique_carries_the_other_checks(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "x"), (None, None), (2, "a")], "k int, v string")
+    from footfall.operators import Check, run_checks
+
+    checks = [Check("t", "k", "unique"), Check("t", "k", "not_null"), Check("t", "v", "not_null"),
+              Check("t", "v", "accepted_values", ("a",)), Check("t", "v", "unique")]
+    got = {(r.column_name, r.check_name): r.failures for r in run_checks({"t": df}, checks).collect()}
+    assert got == {("k", "unique"): 1, ("k", "not_null"): 2, ("v", "not_null"): 1,
+                   ("v", "accepted_values"): 2, ("v", "unique"): 1}
+    empty = run_checks({"t": df.where("false")}, checks)
+    assert [r.failures for r in empty.collect()] == [0] * 5
+    with pytest.raises(ValueError, match="no checks"):
+        run_checks({"t": df}, [])

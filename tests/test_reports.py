@@ -154,3 +154,11 @@ def test_curve_rounds_halves_up(retained, rows):
     """Mean 0.00025: half a hundredth of a percent rounds away from zero."""
     cells = retained(("2024-01-01", 1, 1, 1, 0.0002), ("2024-01-08", 1, 1, 1, 0.0003))
     assert rows(loyalty.retention_curve(cells), "avg_retention_pct") == [(0.03,)]
+
+
+def test_heatmap_has_every_week_that_occurs(staged, rows):
+    from footfall.operators import retention
+
+    cells = loyalty.heatmap_cells(retention(staged(
+        (1, "2024-01-01 10:00:00", "view"), (1, "2024-03-05 10:00:00", "view"), (2, "2024-01-01 10:00:00", "view"))))
+    assert rows(cells) == [(dt.date(2024, 1, 1), 0, 100.0), (dt.date(2024, 1, 1), 9, 50.0)]

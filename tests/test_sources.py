@@ -98,9 +98,8 @@ def test_daily_rebuild_twice(spark, csv, rows, tmp_path):
         ("cart", 1), ("purchase", 1), ("view", 1)]
     assert rows(spark.table(STAGING_VIEW)) == rows(stage_events(spark.table(RAW_TABLE)))
     assert rows(daily.check_layers(spark), "failures", "passed") == [(0, True)] * len(CHECKS)
-    # Reports come from the tables while they exist.
-    assert rows(sources.load_report(spark, "kpi_summary", str(tmp_path))) == [(2, 3, 1, D("4.00"), 4)]
-    assert rows(sources.load_report(spark, "cohort", str(tmp_path)), "user_id") == [(1,), (2,)]
+    assert rows(sources.load_report(spark, "kpi_summary", str(tmp_path), live=True)) == [(2, 3, 1, D("4.00"), 4)]
+    assert rows(sources.load_report(spark, "cohort", str(tmp_path), live=True), "user_id") == [(1,), (2,)]
 
     daily.publish(spark, str(tmp_path / "published"))
     got = spark.read.parquet(str(tmp_path / "published/sessions"))
@@ -139,15 +138,72 @@ def test_snapshots(spark, clicks, rows, tmp_path):
     assert manifest["total"].bytes == sum(sizes.values())
 
 
-def test_load_report_falls_back_to_the_snapshot(spark, clicks, rows, tmp_path):
-    for table in TABLES.values():
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-    with pytest.raises(FileNotFoundError, match="funnel"):
-        sources.load_report(spark, "funnel", str(tmp_path))
+def test_load_report_reads_what_it_is_told_to(spark, clicks, rows, tmp_path):
     from footfall.operators import funnel
 
+    with pytest.raises(FileNotFoundError, match="funnel"):
+        sources.load_report(spark, "funnel", str(tmp_path), live=False)
     sources.export_snapshots({TABLES["funnel"]: funnel(clicks)}, str(tmp_path), ["funnel"])
-    assert rows(sources.load_report(spark, "funnel", str(tmp_path))) == rows(funnel(clicks))
+    sources.create_layers(spark)
+    sources.replace_table(funnel(clicks.where("false")), TABLES["funnel"])
+    assert rows(sources.load_report(spark, "funnel", str(tmp_path), live=False)) == rows(funnel(clicks))
+    assert rows(sources.load_report(spark, "funnel", str(tmp_path), live=True)) != rows(funnel(clicks))
+
+
+def test_snapshot_query_ignores_the_catalog(spark, raw, rows):
+    import __spark_entry__ as driver
+
+    query = driver.queries()["snapshot_load"]
+    before = rows(query(spark, "/root/testdata/sf0.001"))
+    sources.create_layers(spark)
+    sources.replace_table(raw(), RAW_TABLE)
+    sources.replace_staging_view(spark)
+    assert rows(query(spark, "/root/testdata/sf0.001")) == before
+
+
+def test_failed_load_keeps_the_earlier_rows(spark, csv, rows):
+    good = csv("user_id,event_type,event_time", "1,view,2019-11-01 00:00:00 UTC", name="good.csv")
+    bad = csv("user_id,event_type,event_time", "x,view,2019-11-01 00:00:00 UTC", name="bad.csv")
+    sources.create_layers(spark, "safe_")
+    for _ in range(2):
+        assert sources.reload_raw_events(spark, good, "safe_") == 1
+    sources.replace_staging_view(spark, "safe_")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        sources.reload_raw_events(spark, bad, "safe_")
+    assert rows(spark.table("safe_" + RAW_TABLE), "user_id") == [(1,)]
+    assert rows(spark.table("safe_" + STAGING_VIEW), "user_id") == [(1,)]
+    # A table can be rebuilt from itself, also with other columns.
+    again = sources.replace_table(spark.table("safe_" + RAW_TABLE).selectExpr("user_id + 1 AS n"), "safe_" + RAW_TABLE)
+    assert rows(again) == [(2,)]
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_lines_unlike_the_header(spark, csv, rows, multi_line):
+    def load(*lines):
+        path = csv("user_id,event_type,brand", *lines, name="odd.csv")
+        return sources.read_events_csv(spark, path, multi_line=multi_line)
+
+    short = load("1,view", '2,cart,"a,b"', "3,view,x", '4,"v, w"')
+    assert rows(short, "user_id", "event_type", "brand") == [
+        (1, "view", None), (2, "cart", "a,b"), (3, "view", "x"), (4, "v, w", None)]
+    assert short.count() == 4
+    for line in ("1,view,x,y", "1,view,x,", "1,view,x,,,", '1,view,"x,y","z"'):
+        with pytest.raises(Exception, match="more fields than the header"):
+            load("2,cart,x", line).collect()
+        with pytest.raises(Exception, match="more fields than the header"):
+            load("2,cart,x", line).count()
+
+
+def test_marts_from_user_weeks(spark, rows):
+    from footfall.operators import funnel, funnel_from_weeks, retention_from_weeks, user_weeks
+
+    for adapter in (sources.events_as_clicks, sources.orders_as_clicks):
+        events = stage_events(adapter(spark, "/root/testdata/sf0.001"))
+        weeks = user_weeks(events)
+        assert rows(assign_cohorts(weeks, "first_event_at")) == rows(assign_cohorts(events))
+        assert rows(funnel_from_weeks(weeks)) == rows(funnel(events))
+        assert rows(retention_from_weeks(weeks)) == rows(retention(events))
+
 
 
 def test_layout_splits_a_heavy_day_into_disjoint_user_ranges(spark, rows, tmp_path):
@@ -199,3 +255,14 @@ def test_scratch_path_prefers_the_cluster_folder():
     assert scratch_path(Cluster("hdfs://shared/scratch/"), "csv").startswith("hdfs://shared/scratch/footfall-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Cluster(None), "csv")
+
+
+def test_commands(spark, csv, tmp_path, capsys):
+    from footfall.__main__ import main
+
+    path = csv(HEADER, "2019-11-01 00:00:00 UTC,view,1,1,a.b,x,1.00,1,s1", name="command.csv")
+    assert main(["load", path]) == 0
+    assert main(["rebuild", path]) == 0
+    assert main(["export", str(tmp_path / "out")]) == 0
+    assert "kpi_summary" in capsys.readouterr().out
+    assert main(["load", str(tmp_path / "absent.csv")]) == 1
