@@ -113,9 +113,9 @@ def _distance(a, b):
 
 
 def test_lines(spark):
-    base = "the quick brown fox jumps over the lazy dog and then runs far away from all the other small dogs of this old town"
+    base = " ".join(f"word{i * i % 211}" for i in range(130))
     rows = [(i, f"line {i} alone here\n{base}\n\nshort") for i in range(5)]
-    rows += [(10 + i, base.replace("lazy", "lazi").upper() + f"\r\nown words {i} {i * i}") for i in range(3)]
+    rows += [(10 + i, base.replace(f"word{i * i} ", f"Word{i * i}s  ").upper() + f"\r\nown words {i} {i * i}") for i in range(2, 9)]
     rows += [(20 + i, " ".join(base.split()[: -1 - i])) for i in range(4)]
     rows += [(30, None), (31, ""), (32, "  \n \n"), (33, "once\nonce\nOnce "), (34, "b " * 3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
