@@ -17,7 +17,7 @@ from .common import cut
 
 TIMES = (1_640_531_527, 1_540_483_477)  # odd, below 2**31: products of 32-bit keys fit into a long
 NO_MERGE = 2**31 - 1
-HOT_WORDS = 1 << 19  # words with the most uses whose ids every worker gets: some 20 MB
+HOT_WORDS = 1 << 18  # words with the most uses whose ids every worker gets: some 10 MB
 HOT_BYTES = 64  # of such a word at most
 LEVELS = 16  # of a word's count per power of two, for choosing them
 
@@ -120,7 +120,7 @@ def _at(value: Column, build) -> Column:
     return F.element_at(F.transform(F.array(value), build), 1)
 
 
-def _lists_cut(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+def _lists_cut(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that the lists of a column have about ``most`` values together."""
     for batch in batches:
         ends = np.cumsum(np.asarray(pc.list_value_length(batch.column(column)), np.int64))

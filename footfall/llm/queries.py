@@ -75,4 +75,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op6_suffixes, op7_quality, op8_mixing, op9_hnsw, op10_syncmers)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Components as the smallest id reachable, from links (a, b) in both directions.
+REACHED = """
+    reached AS (
+        SELECT id, id AS other FROM nodes
+        UNION
+        SELECT r.id, l.b FROM reached r JOIN links l ON l.a = r.other
+    ),
+    parts AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
+"""
+
+#: For the rest SQL can't express the result: trained models, random draws, SimHash over a
+#: 64-bit hash that DuckDB lacks, and tokenizers. The tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_minhash": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^ 	-
+]+') AS w
+            FROM documents
+        ),
+        sets AS (
+            SELECT doc_id AS id, CASE
+                WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+            FROM words
+        ),
+        nodes AS (SELECT id, CAST(len(s) AS BIGINT) AS n FROM sets),
+        each AS (SELECT id, unnest(s) AS shingle FROM sets),
+        shared AS (
+            SELECT x.id AS a, y.id AS b, count(*) AS k FROM each x JOIN each y ON x.shingle = y.shingle AND x.id < y.id
+            GROUP BY x.id, y.id
+        ),
+        pairs AS (
+            SELECT a, b FROM shared JOIN nodes p ON p.id = a JOIN nodes q ON q.id = b
+            WHERE 100 * k >= 85 * (p.n + q.n - k)
+        ),
+        links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+        {REACHED}
+        SELECT id AS doc_id, n AS n_shingles, component_id, id = component_id AS kept FROM nodes JOIN parts USING (id)
+    """,
+    "op9_hnsw": f"""
+        WITH RECURSIVE nodes AS (
+            SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        ),
+        links AS (
+            SELECT x.id AS a, y.id AS b FROM nodes x JOIN nodes y ON x.id <> y.id AND list_cosine_similarity(x.v, y.v) >= 0.9
+        ),
+        {REACHED},
+        counts AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+        SELECT id AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, id = component_id AS kept
+        FROM nodes JOIN parts USING (id) LEFT JOIN counts USING (id)
+    """,
+}
