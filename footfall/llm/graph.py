@@ -84,6 +84,8 @@ def linked(
             now = now.withColumn("part", F.coalesce("part", "id"))
             mixed = now.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
             now = cut(now.join(mixed.select("bucket"), "bucket"), "open")
+            if now.isEmpty():
+                break
         if turn == turns:
             pairs = _across(now, bound)
         else:
@@ -100,7 +102,8 @@ def linked(
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
         if turn and pairs.isEmpty():
-            break
+            # Pairs that no centre proposes may still be open: only the last step is whole.
+            continue
         tested = pairs if tested is None else tested.union(pairs)
         found = cut(verify(pairs), "edges")
         edges = found if edges is None else edges.union(found)
