@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.session import scratch_path
 
-from . import bpe, repair, suffixes
+from . import bpe, packing, repair, suffixes
 from .common import table
 from .hnsw import near_vectors
 from .lines import line_dedup
@@ -71,8 +71,16 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_trial(table(spark, sf_dir, "documents"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op6_suffixes, op7_quality, op8_mixing, op9_hnsw, op10_syncmers)
+    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op6_suffixes, op7_quality, op8_mixing, op9_hnsw, op10_syncmers, op12_packing)
 }
 
 # Components as the smallest id reachable, from links (a, b) in both directions.
