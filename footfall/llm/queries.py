@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.session import scratch_path
 
-from . import bpe, packing, repair, suffixes
+from . import bpe, merkle, packing, repair, suffixes
 from .common import table
 from .hnsw import near_vectors
 from .lines import line_dedup
@@ -79,8 +79,12 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(merkle.verify(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op6_suffixes, op7_quality, op8_mixing, op9_hnsw, op10_syncmers, op12_packing)
+    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op6_suffixes, op7_quality, op8_mixing, op9_hnsw, op10_syncmers, op12_packing, op13_merkle)
 }
 
 # Components as the smallest id reachable, from links (a, b) in both directions.
@@ -93,6 +97,20 @@ REACHED = """
     parts AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
 """
 
+# crc32 of decimal numbers: a table of the 256 bytes, then a fold over the digits.
+CRC_TABLE = """
+    crc_table AS (
+        SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS c
+            FROM (SELECT unnest(range(256)) AS i)
+        )
+    )
+"""
+CRC = """(xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])
+), 4294967295))"""
+
 #: For the rest SQL can't express the result: trained models, random draws, SimHash over a
 #: 64-bit hash that DuckDB lacks, and tokenizers. The tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
@@ -136,4 +154,61 @@ ORACLE_SQL: dict[str, str] = {
         SELECT id AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, id = component_id AS kept
         FROM nodes JOIN parts USING (id) LEFT JOIN counts USING (id)
     """,
+    "op13_merkle": f"""
+        WITH RECURSIVE {CRC_TABLE},
+        fields AS (
+            SELECT coalesce(lang, '') AS g, lang IS NOT NULL AS named, doc_id, text, concat(
+                coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')
+            ) AS head, {CRC.format("doc_id")} % 3 = 0 AS other
+            FROM documents, crc_table
+        ),
+        leaves AS (
+            SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                sha256(head || coalesce(strlen(text) || ':' || CASE WHEN other THEN
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS tampered
+            FROM fields
+        ),
+        placed AS (
+            SELECT *, dense_rank() OVER (ORDER BY named, encode(g)) - 1 AS tree, count(*) OVER (PARTITION BY named, g) AS n,
+                row_number() OVER (PARTITION BY named, g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+            FROM leaves
+        ),
+        lower_nodes AS (
+            SELECT tree, 0 AS level, pos, n, leaf AS h FROM placed
+            UNION ALL
+            SELECT tree, level + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY pos))
+            FROM lower_nodes WHERE n > 1 GROUP BY tree, level, pos // 8
+        ),
+        subroots AS (SELECT tree, level, h, count(*) OVER () AS n FROM lower_nodes WHERE n = 1),
+        upper_nodes AS (
+            SELECT 0 AS level, tree AS pos, n, h FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY pos))
+            FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 8
+        ),
+        tops AS (SELECT level, h FROM upper_nodes WHERE n = 1),
+        -- All levels that a leaf climbs, those of its own tree first.
+        nodes AS (
+            SELECT tree, level, pos, n, h FROM lower_nodes WHERE n > 1
+            UNION ALL
+            SELECT s.tree, s.level + u.level, u.pos, u.n, u.h FROM subroots s, upper_nodes u WHERE u.n > 1
+        ),
+        climb AS (
+            SELECT p.tree, p.pos AS leaf_pos, 0 AS level, CASE WHEN s.level = 0 THEN p.tree ELSE p.pos END AS pos,
+                p.tampered AS folded, '' AS siblings
+            FROM placed p JOIN subroots s USING (tree)
+            UNION ALL
+            SELECT c.tree, c.leaf_pos, c.level + 1, CASE WHEN any_value(s.level) = c.level + 1 THEN c.tree ELSE any_value(c.pos) // 8 END,
+                sha256(string_agg(CASE WHEN m.pos = c.pos THEN c.folded ELSE m.h END, '' ORDER BY m.pos)),
+                any_value(c.siblings) || coalesce(string_agg(m.h, '' ORDER BY m.pos) FILTER (m.pos <> c.pos), '')
+            FROM climb c JOIN nodes m ON m.tree = c.tree AND m.level = c.level AND m.pos // 8 = c.pos // 8
+            JOIN subroots s ON s.tree = c.tree
+            GROUP BY c.tree, c.leaf_pos, c.level
+        )
+        SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(c.siblings) AS proof_sha256, c.folded AS folded_root,
+            c.folded = t.h AS verified
+        FROM placed p JOIN subroots s USING (tree) JOIN climb c ON c.tree = p.tree AND c.leaf_pos = p.pos, tops t
+        WHERE c.level = s.level + t.level
+    """,
 }

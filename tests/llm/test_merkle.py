@@ -1,0 +1,104 @@
+"""The Merkle manifest against trees built in plain Python."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from footfall.llm import merkle
+
+COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _leaf(row):
+    return H(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in row])
+
+
+def _tree(leaves):
+    """The levels from the leaves to the root."""
+    out = [leaves]
+    while len(out[-1]) > 1:
+        out.append([H(*out[-1][i : i + 8]) for i in range(0, len(out[-1]), 8)])
+    return out
+
+
+def _walk(tree, at):
+    for level in tree[:-1]:
+        low = at // 8 * 8
+        yield level[low : low + 8], at - low
+        at //= 8
+
+
+def _want(rows):
+    by = defaultdict(list)
+    for row in rows:
+        by[row[2]].append((row[0] is not None, row[0] or 0, _leaf(row), row))
+    langs = sorted(by, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang in langs:
+        by[lang].sort(key=lambda x: x[:3])
+        trees[lang] = _tree([x[2] for x in by[lang]])
+    top = _tree([trees[lang][-1][0] for lang in langs])
+    for k, lang in enumerate(langs):
+        for at, (_, _, own, row) in enumerate(by[lang]):
+            folded, proof = own, []
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[4] is not None:
+                folded = _leaf((*row[:4], "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in row[4])))
+            for run, place in (*_walk(trees[lang], at), *_walk(top, k)):
+                proof += run[:place] + run[place + 1 :]
+                folded = H(*run[:place], folded, *run[place + 1 :])
+            yield row[0], own, trees[lang][-1][0], top[-1][0], H(*proof), folded, folded == top[-1][0]
+
+
+def _check(docs):
+    rows = [tuple(r) for r in docs.select(*COLUMNS).collect()]
+    got = merkle.digest(merkle.verify(docs))
+    assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    got, want = Counter(tuple(r) for r in got.collect()), Counter(_want(rows))
+    assert got == want
+    return want
+
+
+def test_odd_documents(odd_docs):
+    want = _check(odd_docs)
+    assert {r[-1] for r in want} == {True, False}
+
+
+def test_nothing(no_docs):
+    assert merkle.verify(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[1], [9], [1, 1], [64, 65, 1, 7], [3] * 70])
+def test_shapes(spark, sizes):
+    rows = [(1000 * k + i, "s", f"l{k}", i, f"Text {i}" if i % 5 else f"low {i}") for k, n in enumerate(sizes) for i in range(n)]
+    _check(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(3))
+
+
+def test_higher_than_a_block(spark, monkeypatch):
+    """Nodes above several blocks, with blocks of 8 leaves."""
+    monkeypatch.setattr(merkle, "DEEP", 1)
+    monkeypatch.setattr(merkle, "BLOCK", 8)
+    docs = spark.range(1200).selectExpr(
+        "id AS doc_id", "'s' AS source", "IF(id % 5 < 3, 'en', concat('l', id % 5, id % 3)) AS lang", "id AS n_chars", "concat('Some Text ', id % 50) AS text"
+    )
+    _check(docs.repartition(5))
+
+
+def test_no_key_is_met_by_more_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "DEEP", 1)
+    monkeypatch.setattr(merkle, "BLOCK", 8)
+    docs = spark.range(700).selectExpr("id AS doc_id", "'s' AS source", "'en' AS lang", "id AS n_chars", "'t' AS text")
+    leaves, nodes, subroots, _ = merkle.manifest(docs)
+    climbed = merkle.climb(leaves, merkle.steps(leaves, nodes, subroots.count()))
+    assert climbed.groupBy("step", "tree", "block", "up").count().agg({"count": "max"}).first()[0] <= 8
+
+
+def test_the_row_limit_is_restored(spark, odd_docs):
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    merkle.verify(odd_docs).count()
+    assert spark.conf.get("spark.sql.cteRecursionRowLimit") == before
