@@ -14,6 +14,7 @@ from .hnsw import near_vectors
 from .lines import line_dedup
 from .minhash import near_duplicates
 from .mixing import plan
+from .prefix_trie import conversation_trie
 from .quality import classify
 from .syncmers import edit_trial
 from .toxicity import toxicity
@@ -71,6 +72,10 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_trial(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -84,7 +89,11 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op6_suffixes, op7_quality, op8_mixing, op9_hnsw, op10_syncmers, op12_packing, op13_merkle)
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_minhash, op3_byte_bpe, op4_lines, op5_repair, op6_suffixes, op7_quality, op8_mixing, op9_hnsw,
+        op10_syncmers, op11_prefix_trie, op12_packing, op13_merkle,
+    )
 }
 
 # Components as the smallest id reachable, from links (a, b) in both directions.
@@ -154,6 +163,35 @@ ORACLE_SQL: dict[str, str] = {
         SELECT id AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, id = component_id AS kept
         FROM nodes JOIN parts USING (id) LEFT JOIN counts USING (id)
     """,
+    "op11_prefix_trie": f"""
+        WITH RECURSIVE {CRC_TABLE},
+        own AS (
+            SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS s
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ),
+        heads AS (SELECT *, {CRC.format("conv_id")} % 6 AS h FROM own, crc_table),
+        built AS (
+            SELECT c.conv_id, list_concat(coalesce(l.s[1:h], []), c.s[h + 1:]) AS s
+            FROM heads c LEFT JOIN own l ON l.conv_id = c.conv_id - c.conv_id % 100
+        ),
+        prefixes AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM built),
+        nodes AS (
+            SELECT s[1:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                coalesce(any_value(length(s[depth].text)), 0) AS points,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(s) = depth), '')) AS ends_sha256
+            FROM prefixes GROUP BY s[1:depth], depth
+        ),
+        below AS (SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+        counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN below b ON b.depth = n.depth AND b.p = n.p),
+        reports AS (
+            SELECT p[1:up] AS p, up AS depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * points) AS saved_tokens
+            FROM (SELECT *, unnest(range(depth + 1)) AS up FROM counted) GROUP BY ALL
+        )
+        SELECT n.conv_id, n.depth, a.conv_id AS parent_conv_id, n.n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+            CAST(r.n_leaves AS BIGINT) AS n_leaves, CAST(r.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+        FROM counted n JOIN reports r ON r.depth = n.depth AND r.p = n.p
+        LEFT JOIN nodes a ON a.depth = n.depth - 1 AND a.p = n.p[1:n.depth - 1]
+    """,
     "op13_merkle": f"""
         WITH RECURSIVE {CRC_TABLE},
         fields AS (

@@ -1,0 +1,110 @@
+"""The trie of rebuilt conversations against one built in plain Python."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from footfall.llm import prefix_trie
+
+
+def _rebuilt(rows):
+    own = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            own[conv_id].append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [x[2:] for x in sorted(v, key=lambda x: x[:2])] for c, v in own.items()}
+    for c, mine in turns.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        yield c, tuple(turns.get(c - c % 100, [])[:h] + mine[h:])
+
+
+def _want(sequences):
+    nodes = defaultdict(list)
+    for c, seq in sequences:
+        for d in range(len(seq) + 1):
+            nodes[seq[:d]].append((c, len(seq) == d))
+    out = Counter()
+    children, leaves, saved = Counter(), Counter(), Counter()
+    for seq, held in nodes.items():
+        if seq:
+            children[seq[:-1]] += 1
+    for seq, held in nodes.items():
+        for d in range(len(seq) + 1):
+            leaves[seq[:d]] += not children[seq]
+            saved[seq[:d]] += (len(held) - 1) * len(seq[-1][1]) if seq else 0
+    for seq, held in nodes.items():
+        ends = hashlib.sha256(",".join(str(c) for c, end in sorted(held) if end).encode()).hexdigest()
+        above = min(c for c, _ in nodes[seq[:-1]]) if seq else None
+        out[(min(held)[0], len(seq), above, len(held), children[seq], leaves[seq], saved[seq], ends)] += 1
+    return out
+
+
+def _conversations(seed, n):
+    """Few distinct texts, so that prefixes repeat; copies; long shared starts; odd cells."""
+    rng = random.Random(seed)
+    start = [("user", f"start {i}") for i in range(12)]
+    for c in range(n):
+        kind = rng.random()
+        turns = [(rng.choice(["user", "tool", None]), rng.choice(["a", "bé", "", None, "long " * 9])) for _ in range(rng.randint(1, 7))]
+        if kind < 0.3:
+            turns = start
+        elif kind < 0.6:
+            turns = start[: rng.randint(5, 12)] + turns
+        for at, (role, text) in enumerate(turns):
+            yield c * rng.choice([1, 1, 1, 100]), None if rng.random() < 0.02 else at * 2, role, text
+    yield None, 0, "user", "of no conversation"
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def _distinct_turns(rows):
+    """One row for each turn of a conversation: ties are ordered by a hash."""
+    return list({(c, t): (c, t, r, x) for c, t, r, x in rows}.values())
+
+
+@pytest.mark.parametrize("limit, weight", [(4096, 1 << 24), (3, 1 << 24), (50, 2000)])
+def test_trie(spark, monkeypatch, limit, weight):
+    rows = _distinct_turns(_conversations(limit, 400))
+    monkeypatch.setattr(prefix_trie, "CHUNK", 50)
+    if limit == 3:
+        monkeypatch.setattr(prefix_trie, "FEW", 0)
+    table = spark.createDataFrame(rows, SCHEMA + "").selectExpr("*", "'x' AS depth", "1.5 AS suffix").repartition(6)
+    got = prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turns(table)), limit, weight)
+    names = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    assert Counter(tuple(r) for r in got.select(*names).collect()) == _want(_rebuilt(rows))
+
+
+def test_one_conversation_and_its_copies(spark):
+    rows = [(c, t, "user", f"turn {t}") for c in (7, 100, 203) for t in range(9)]
+    got = prefix_trie.conversation_trie(spark.createDataFrame(rows, SCHEMA))
+    assert Counter(tuple(r) for r in got.collect()) == _want(_rebuilt(rows))
+
+
+def test_turnless(spark):
+    """Conversations whose own turns go, and whose leader does not exist."""
+    lone = [c for c in range(1, 100) if zlib.crc32(str(c).encode()) % 6 > 2][:5]
+    rows = [(c, t, "user", "x") for c in lone for t in range(2)]
+    got = prefix_trie.conversation_trie(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert Counter(tuple(r) for r in got) == _want(_rebuilt(rows)) and len(got) == 1 and got[0].n_leaves == 1
+
+
+def test_ties_and_repeated_rows_rerun_alike(spark):
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "b"), (1, 0, "user", "b"), (1, None, None, None), (2, 0, "user", "b")] * 2
+    runs = [sorted(map(tuple, prefix_trie.conversation_trie(spark.createDataFrame(x, SCHEMA)).collect()), key=str) for x in (rows, rows[::-1])]
+    assert runs[0] == runs[1]
+
+
+def test_no_conversations(spark):
+    assert prefix_trie.conversation_trie(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_bursts_keep_containers_small(spark):
+    rows = _distinct_turns(_conversations(1, 500))
+    found = prefix_trie.sequences(prefix_trie.rebuilt(prefix_trie.turns(spark.createDataFrame(rows, SCHEMA))))
+    settled, heads = prefix_trie.burst(found, limit=10)
+    assert settled.groupBy("container").count().agg({"count": "max"}).first()[0] <= 10
+    assert heads.count() > 3
