@@ -132,16 +132,23 @@ def manifest(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, bytes |
 def steps(leaves: DataFrame, nodes: DataFrame, n_trees: int) -> DataFrame:
     """Nodes by (tree, block, id), for the leaves of a block of BLOCK to climb. A node above
     several blocks is there once for each, so that no key is met by more than BLOCK leaves; the
-    copies are one in BLOCK leaves for each level."""
+    copies are one in BLOCK leaves for each level. They have a number, ``above``, that ascends
+    with the level, and the place of the node below, ``below``, both null in other nodes."""
     own = nodes.withColumn("id", F.expr(_id("tree", "level", "at")))
     low = own.where(f"tree <> {TOP} AND level <= {DEEP}").select(
-        "tree", F.expr(f"at div CAST(pow({RUN}, {DEEP} - level) AS BIGINT)").alias("block"), "id", "up", "place", "children"
+        "tree", F.expr(f"at div CAST(pow({RUN}, {DEEP} - level) AS BIGINT)").alias("block"), "id", "up", "place", "children",
+        F.lit(None).cast("int").alias("above"), F.lit(None).cast("int").alias("below"),
     )
-    inner = f"transform(filter(sequence({DEEP + 1}, greatest({DEEP + 1}, {_height('n')})), l -> l <= {_height('n')}), l -> {_id('tree', 'l', f'block div CAST(pow({RUN}, l - {DEEP}) AS BIGINT)')})"
-    top = _height(str(n_trees)) if n_trees > 1 else "0"
-    outer = f"transform(filter(sequence(1, greatest(1, {top})), l -> l <= {top}), l -> {_id(TOP, 'l', f'tree div CAST(pow({RUN}, l) AS BIGINT)')})"
+
+    def line(tree: object, first: int, last: str, leaf: str, base: int, number: str) -> str:
+        at = lambda l: f"{leaf} div CAST(pow({RUN}, {l} - {base}) AS BIGINT)"
+        node = f"struct({_id(tree, 'l', at('l'))} AS id, {number} AS above, CAST({at('l - 1')} % {RUN} AS INT) AS below)"
+        return f"transform(filter(sequence({first}, greatest({first}, {last})), l -> l <= {last}), l -> {node})"
+
+    inner = line("tree", DEEP + 1, _height("n"), "block", DEEP, "l")
+    outer = line(TOP, 1, _height(str(n_trees)) if n_trees > 1 else "0", "tree", 0, "1000 + l")
     blocks = leaves.where(f"at % {BLOCK} = 0").select("tree", "n", F.expr(f"at div {BLOCK}").alias("block"))
-    high = blocks.select("tree", "block", F.explode(F.expr(f"concat({inner}, {outer})")).alias("id"))
+    high = blocks.select("tree", "block", F.inline(F.expr(f"concat({inner}, {outer})")))
     return low.union(high.join(own.select("id", "up", "place", "children"), "id").select(*low.columns))
 
 
@@ -156,9 +163,11 @@ def _any_number_of_rows(spark: SparkSession) -> Iterator[None]:
 
 
 def climb(leaves: DataFrame, path: DataFrame) -> DataFrame:
-    """A row per leaf and step of a recursive query that ascends from every leaf: the siblings
-    met (in order, without the leaf's own node), and the digest folded so far, which starts as
-    that of the tampered row, if there is one. ``path``: see ``steps``."""
+    """A row per leaf and step of a recursive query that ascends from every leaf: the digest
+    folded so far, which starts as that of the tampered row, if there is one, and the siblings
+    met (in order, without the leaf's own node). Those above the block are the same for all its
+    leaves and null here, see ``above_blocks``; this bounds what a leaf carries, whatever the
+    height. ``path``: see ``steps``."""
     spark = leaves.sparkSession
     start = leaves.select(
         "tree", "at", F.expr(f"at div {BLOCK}").alias("block"), "up", "place", F.coalesce("tampered", "leaf").alias("folded"),
@@ -171,7 +180,7 @@ def climb(leaves: DataFrame, path: DataFrame) -> DataFrame:
         WITH RECURSIVE climb({STATE}) AS (
             SELECT {STATE} FROM {{start}}
             UNION ALL
-            SELECT c.tree, c.at, c.block, s.up, s.place, {folded}, {run.format('')}, c.step + 1, CAST(NULL AS BIGINT), CAST(NULL AS BINARY)
+            SELECT c.tree, c.at, c.block, s.up, s.place, {folded}, IF(s.above IS NULL, {run.format('')}, NULL), c.step + 1, CAST(NULL AS BIGINT), CAST(NULL AS BINARY)
             FROM climb c JOIN {{path}} s ON s.id = c.up AND s.tree = c.tree AND s.block = c.block
         )
         SELECT {STATE} FROM climb
@@ -180,6 +189,13 @@ def climb(leaves: DataFrame, path: DataFrame) -> DataFrame:
     )
 
 
+def above_blocks(path: DataFrame) -> DataFrame:
+    """(tree, block, upper): the siblings that all leaves of a block meet above it, in order."""
+    others = F.expr("concat(substr(children, 1, 32 * below), substr(children, 32 * below + 33))")
+    rows = path.where("above IS NOT NULL").select("tree", "block", F.struct("above", F.hex(others).alias("others")).alias("met"))
+    return rows.groupBy("tree", "block").agg(F.unhex(F.array_join(F.sort_array(F.collect_list("met"))["others"], "")).alias("upper"))
+
+
 def verify(docs: DataFrame) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof, folded_root, verified), one row per row of ``docs``;
     digests and proofs (the siblings' digests, level by level, left to right) are binary.
@@ -194,7 +210,7 @@ def verify(docs: DataFrame) -> DataFrame:
     n_trees = subroots.count()
     if nodes is None:
         up = leaves.withColumn("proof", F.lit(b"")).withColumn("folded_root", F.coalesce("tampered", "leaf"))
-        found = up.withColumn("block", F.lit(0).cast("long"))
+        found, above = up.withColumn("block", F.lit(0).cast("long")), None
     else:
         path = cut(steps(leaves, nodes, n_trees), "path")
         with _any_number_of_rows(spark):
@@ -204,12 +220,13 @@ def verify(docs: DataFrame) -> DataFrame:
                 F.unhex(F.array_join(F.transform("held", lambda x: F.coalesce(F.hex(x["siblings"]), F.lit(""))), "")).alias("proof"),
                 F.expr("element_at(held, -1).folded").alias("folded_root"),
             )
-            found = cut(found, "climbed")
+            found, above = cut(found, "climbed"), above_blocks(path)
     blocks = leaves.where(f"at % {BLOCK} = 0").select("tree", F.expr(f"at div {BLOCK}").alias("block"))
     blocks = blocks.join(subroots.withColumnRenamed("hash", "subroot"), "tree")
-    root = F.lit(root).cast("binary")
+    blocks = blocks.withColumn("upper", F.lit(b"")) if above is None else blocks.join(above, ["tree", "block"], "left")
+    root, proof = F.lit(root).cast("binary"), F.concat("proof", F.coalesce("upper", F.lit(b"")))
     return found.join(blocks, ["tree", "block"]).select(
-        "doc_id", "leaf", "subroot", root.alias("root"), "proof", "folded_root", (F.col("folded_root") == root).alias("verified")
+        "doc_id", "leaf", "subroot", root.alias("root"), proof.alias("proof"), "folded_root", (F.col("folded_root") == root).alias("verified")
     )
 
 
