@@ -37,12 +37,14 @@ from footfall.schema import RAW_EVENTS, STAGES
 from footfall.session import scratch_path
 from footfall.sources import (
     create_layers,
+    drop_layers,
     events_as_clicks,
     export_snapshots,
     load_report,
     orders_as_clicks,
     query,
     read_events_csv,
+    read_layout,
     reload_raw_events,
     snapshot_manifest,
     write_layout,
@@ -139,16 +141,29 @@ def _fresh_layers(raw: DataFrame) -> str:
     return prefix
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _raw_reload(raw: DataFrame) -> DataFrame:
     """The raw table after a load from CSV."""
-    return raw.sparkSession.table(_fresh_layers(raw) + RAW_TABLE).drop("ingested_at")
+    prefix = _fresh_layers(raw)
+    try:
+        return _written(raw.sparkSession.table(prefix + RAW_TABLE).drop("ingested_at"), "reloaded")
+    finally:
+        drop_layers(raw.sparkSession, prefix)
 
 
 def _daily_rebuild(raw: DataFrame) -> DataFrame:
     """Load, staging view and marts as tables, then the outcome of all checks on them."""
     prefix = _fresh_layers(raw)
-    build_marts(raw.sparkSession, prefix)
-    return check_layers(raw.sparkSession, prefix)
+    try:
+        build_marts(raw.sparkSession, prefix)
+        return _written(check_layers(raw.sparkSession, prefix), "checked")
+    finally:
+        drop_layers(raw.sparkSession, prefix)
 
 
 def _csv_file(raw: DataFrame) -> str:
@@ -165,8 +180,8 @@ def _csv_file(raw: DataFrame) -> str:
 def _partitioned(table: DataFrame, name: str) -> DataFrame:
     spark = table.sparkSession
     path = scratch_path(spark, name)
-    write_layout(table, name, path, files=int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return spark.read.parquet(path)
+    write_layout(_written(table, f"{name}_table"), name, path)
+    return read_layout(spark, path)
 
 
 def _snapshots(stg: DataFrame, manifest: bool) -> DataFrame:

@@ -4,13 +4,14 @@ from footfall.sources.adapters import events_as_clicks, orders_as_clicks
 from footfall.sources.csv_events import map_columns, read_events_csv, to_raw_events
 from footfall.sources.layers import (
     create_layers,
+    drop_layers,
     query,
     reload_raw_events,
     replace_staging_view,
     replace_table,
 )
 from footfall.sources.snapshots import REPORTS, export_snapshots, load_report, snapshot_manifest
-from footfall.sources.warehouse import LAYOUTS, Layout, arrange, require_columns, write_layout
+from footfall.sources.warehouse import LAYOUTS, Layout, arrange, read_layout, require_columns, write_layout
 
 __all__ = [
     "LAYOUTS",
@@ -18,6 +19,7 @@ __all__ = [
     "REPORTS",
     "arrange",
     "create_layers",
+    "drop_layers",
     "events_as_clicks",
     "export_snapshots",
     "load_report",
@@ -28,6 +30,7 @@ __all__ = [
     "reload_raw_events",
     "replace_staging_view",
     "replace_table",
+    "read_layout",
     "require_columns",
     "snapshot_manifest",
     "to_raw_events",

@@ -45,20 +45,38 @@ def replace_table(df: DataFrame, table: str) -> DataFrame:
     path = f"{home}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     earlier = None
-    if spark.catalog.tableExists(table):
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+    else:
         earlier = _location(spark, table)
         if spark.table(table).schema.simpleString() == df.schema.simpleString():
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         else:
-            spark.sql(f"DROP TABLE {table}")
-    if not spark.catalog.tableExists(table):
-        spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+            _swap(df, table, path)
     spark.catalog.refreshTable(table)
     if earlier:
         _remove(spark, earlier)
     return spark.table(table)
 
 
+def _swap(df: DataFrame, table: str, path: str) -> None:
+    """Another schema: the new table is made under a name of its own, and both are renamed. The
+    earlier one is dropped last, so at any moment the catalog holds it or the new one."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    spark.catalog.createTable(f"{table}_new_{mark}", path=path, source="parquet", schema=df.schema)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}_old_{mark}")
+    spark.sql(f"ALTER TABLE {table}_new_{mark} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {table}_old_{mark}")
+
+
+def drop_layers(spark: SparkSession, prefix: str) -> None:
+    """Drop a set of layers that stands beside the others, with its tables and their files."""
+    if not prefix:
+        raise ValueError("the layers without a prefix are not dropped")
+    for layer in LAYERS:
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer} CASCADE")
+
+
 def _location(spark: SparkSession, table: str) -> str:
     facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
     return facts.first()["data_type"]

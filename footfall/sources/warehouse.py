@@ -5,14 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions import day_of
 
+FOLDER_ROWS = 100_000  # that a folder holds on average, at least
+COARSER = ("month", "year")
+FOLDER = "folder"  # name of a folder column that stands for several dates
+
 
 @dataclass(frozen=True)
 class Layout:
+    """Folders by a date column, or by a coarser unit of it if the dates are mostly small; files
+    clustered within."""
+
     partition: str | None = None
     cluster: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
@@ -52,12 +59,37 @@ def arrange(df: DataFrame, layout: Layout, files: int | None = None) -> DataFram
     return ranges.sortWithinPartitions(*keys)
 
 
-def write_layout(df: DataFrame, name: str, path: str, files: int | None = None) -> None:
-    """Write a published table in its layout, replacing an earlier one."""
+def folders(df: DataFrame, date: str, least: int = FOLDER_ROWS) -> Column | None:
+    """The finest of the date itself, its month and its year of which a folder has ``least`` rows
+    on average; null if all rows together have fewer than two such folders."""
+    units = {"date": F.col(date), **{u: F.trunc(date, u) for u in COARSER}}
+    facts = df.agg(F.count("*").alias("rows"), *[F.count_distinct(v).alias(u) for u, v in units.items()]).first()
+    for unit, value in units.items():
+        if facts[unit] and facts["rows"] >= least * facts[unit]:
+            return value if facts[unit] > 1 else None
+    return None
+
+
+def write_layout(df: DataFrame, name: str, path: str, files: int | None = None, least: int = FOLDER_ROWS) -> None:
+    """Write a published table in its layout, replacing an earlier one.
+
+    ``df`` should be a written table: its dates are counted first, then laying out by ranges
+    looks at it twice. Many small dates would each be a folder with a tiny file, so folders
+    stand for a month or a year then, or there is one folder. Whatever the unit, files are
+    ranges of (date, cluster), so readers that look for a date skip the others by statistics.
+    """
     layout = LAYOUTS[name]
     if name == "sessions":
         df = df.withColumn("session_date", day_of(F.col("session_start")))
-    writer = arrange(require_columns(df, layout.required), layout, files).write.mode("overwrite")
-    if layout.partition:
-        writer = writer.partitionBy(layout.partition)
-    writer.parquet(path)
+    rows = arrange(require_columns(df, layout.required), layout, files)
+    unit = folders(df, layout.partition, least) if layout.partition else None
+    if unit is None:
+        rows.write.mode("overwrite").parquet(path)
+    else:
+        rows.withColumn(FOLDER, unit).write.mode("overwrite").partitionBy(FOLDER).parquet(path)
+
+
+def read_layout(spark: SparkSession, path: str) -> DataFrame:
+    """A laid out table, with the columns that were written."""
+    found = spark.read.parquet(path)
+    return found.drop(FOLDER)

@@ -224,6 +224,53 @@ def test_layout_splits_a_heavy_day_into_disjoint_user_ranges(spark, rows, tmp_pa
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def _day_table(spark, days, each):
+    return spark.range(days * each).select(
+        F.col("id").alias("user_id"), F.col("id").cast("string").alias("session_key"),
+        F.expr(f"timestamp_ntz'2024-01-01 08:00:00' + make_interval(0, 0, 0, CAST(id div {each} AS INT))").alias("session_start"),
+    )
+
+
+@pytest.mark.parametrize("least, folders", [(5, 60), (6, 2), (150, 2), (151, 1), (301, 1)])
+def test_small_days_share_a_folder(spark, rows, tmp_path, least, folders):
+    """60 days of five rows in two months of one year."""
+    sessions = _day_table(spark, 60, 5)
+    path = tmp_path / "layout"
+    sources.write_layout(sessions, "sessions", str(path), files=4, least=least)
+    got = sources.read_layout(spark, str(path))
+    assert got.columns == [*sessions.columns, "session_date"]
+    assert rows(got.drop("session_date")) == rows(sessions)
+    assert got.where("session_date <> CAST(session_start AS DATE)").isEmpty()
+    assert len(list(path.glob("folder=*"))) == (folders if folders > 1 else 0)
+    assert len(list(path.rglob("*.parquet"))) <= folders + 4
+
+
+def test_a_date_still_skips_files_of_a_shared_folder(spark, tmp_path):
+    path = str(tmp_path / "layout")
+    sources.write_layout(_day_table(spark, 60, 50), "sessions", path, files=6, least=1000)
+    spans = sources.read_layout(spark, path).groupBy(F.input_file_name()).agg(F.min("session_date").alias("a"), F.max("session_date").alias("z"))
+    spans = sorted((r.a, r.z) for r in spans.collect())
+    assert len(spans) in (6, 7) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_another_schema_is_swapped_in(spark, rows):
+    """The table is never away: a reader between the renames sees the earlier or the new one."""
+    sources.create_layers(spark, "swap_")
+    table = "swap_marts.facts"
+    first = sources.replace_table(spark.range(3), table)
+    assert rows(first) == [(0,), (1,), (2,)]
+    second = sources.replace_table(spark.range(2).selectExpr("id", "'x' AS name"), table)
+    assert rows(second) == [(0, "x"), (1, "x")] == rows(spark.table(table))
+    assert [t.name for t in spark.catalog.listTables("swap_marts")] == ["facts"]
+    sources.drop_layers(spark, "swap_")
+    assert not spark.catalog.databaseExists("swap_marts")
+
+
+def test_the_layers_themselves_are_not_dropped(spark):
+    with pytest.raises(ValueError):
+        sources.drop_layers(spark, "")
+
+
 def test_layout_refuses_a_missing_required_column(spark, tmp_path, rows):
     bad = spark.createDataFrame([(None, "2024-01-01")], "user_id bigint, m string").selectExpr(
         "user_id", "CAST(NULL AS TIMESTAMP_NTZ) AS first_event_at", "CAST(m AS DATE) AS cohort_week",
