@@ -6,104 +6,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import slices
+from .word_ids import SLICE, encoder
 
 END = 1  # id that closes a document
 CHUNK = 1 << 20  # ids that share a grammar, about; a longer document stays whole
 FIRST_RULE = 1 << 16  # nonterminals start here, above the ids
-ROUNDS, PAIRS, LEAST = 5, 4096, 16  # of replacing; pairs in a round; uses of a pair
-SLICE = 8 << 20  # bytes of text encoded at once, about
+PAIRS, LEAST = 4096, 16  # pairs replaced in a round, at most; uses of a pair that is replaced
 FILES = "shard int, chunk int, doc_ids array<long>, counts array<int>, n_ids long, rules binary, lengths binary, sequence binary"
 
 
-class Encoder:
-    """The tokenizers library, called once for each distinct word of a slice of texts.
-
-    Words are cut at blanks, tabs and line ends, which the tokenizer drops and lets no token
-    cross, and between an ASCII letter or digit and one of ``.,;:!?``, where it always cuts;
-    A-Z are lower-cased, as it does first. So a text's ids are those of its words. Words go to
-    the library in two texts: those of the letters a-z alone have one end-of-word token each
-    and are kept apart by blanks, the others by the end-of-text token, whose id marks the cuts.
-    """
-
-    BETWEEN = "<|endoftext|>"
-
-    def __init__(self, tokenizer: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.between = self.tokenizer.token_to_id(self.BETWEEN)
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def _ids(self, text: str) -> np.ndarray:
-        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, np.int32)
-
-    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and for each word where its ids start and how many they are."""
-        plain = pc.match_substring_regex(words, r"^[a-z]+$").to_numpy(zero_copy_only=False)
-        parts, sizes = [], np.zeros(len(words), np.int64)
-        if plain.any():
-            ids = self._ids(" ".join(words.filter(pa.array(plain)).to_pylist()))
-            sizes[plain] = np.diff(np.append(-1, np.flatnonzero(self.closes[ids])))
-            parts.append(ids)
-        rest = words.filter(pa.array(~plain)).to_pylist()
-        if rest:
-            # A word may hold the text that marks the cuts.
-            odd = {i: self._ids(w) for i, w in enumerate(rest) if "<|" in w}
-            ids = self._ids(self.BETWEEN.join("" if i in odd else w for i, w in enumerate(rest)))
-            cuts = np.flatnonzero(ids == self.between)
-            size = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
-            ids = np.delete(ids, cuts)
-            at = np.cumsum(size)
-            if odd:
-                ids = np.concatenate([x for i, x in enumerate(np.split(ids, at[:-1])) for x in (odd.get(i, x),)])
-                size[list(odd)] = [len(x) for x in odd.values()]
-            sizes[~plain] = size
-            parts.append(ids)
-        # Back into the order of the words.
-        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        packed = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        starts = np.empty(len(words), np.int64)
-        starts[order] = np.cumsum(sizes[order]) - sizes[order]
-        return packed, starts, sizes
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after the other, and how many each has."""
-        texts = pc.ascii_lower(texts.fill_null("").cast(pa.large_string()))
-        texts = pc.replace_substring_regex(texts, r"([a-z0-9])([.,;:!?])", r"\1 \2")
-        lists = pc.split_pattern_regex(texts, r"[ \t\n\r]+")
-        each = np.asarray(pc.list_value_length(lists), np.int64)
-        coded = lists.flatten().dictionary_encode()
-        ids, starts, sizes = self._words(coded.dictionary)
-        row = np.asarray(coded.indices, np.int64)
-        count = sizes[row]
-        ends = np.cumsum(count)
-        flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[row] - (ends - count), count)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(each)])]
-        return ids[flat], np.diff(bounds)
-
-
 def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: (rules, lengths, sequence).
 
     In each round the pairs of neighbours used most, at least LEAST times, become nonterminals
-    and are replaced from left to right, a pair that overlaps a replaced one staying. Rule k,
-    a row of two symbols, defines FIRST_RULE + k, which stands for lengths[k] ids.
+    and are replaced from left to right, a pair that overlaps a replaced one staying. Rounds go
+    on until no pair is used so often. Rule k, a row of two symbols, defines FIRST_RULE + k,
+    which stands for lengths[k] ids.
     """
-    sequence = np.asarray(ids, np.int64)
+    sequence = np.array(ids, np.int64)
     rules, lengths = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-    for _ in range(ROUNDS):
-        if len(sequence) < 2:
-            break
+    while len(sequence) >= 2:
         pair = sequence[:-1] << 32 | sequence[1:]
         ordered = np.sort(pair)
         at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -188,7 +116,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str) -> None:
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, chunk = Encoder(shared.value), TaskContext.get().partitionId(), 0
+        coder, shard, chunk = encoder(shared.value), TaskContext.get().partitionId(), 0
         ids, names, counts, n = [], [], [], 0
 
         def packed() -> pa.RecordBatch:
@@ -198,7 +126,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str) -> None:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], [c.split()[0] for c in FILES.split(", ")])
 
         for batch in slices(batches, "text", SLICE):
-            flat, each = encoder.encode(batch.column("text"))
+            flat, each = coder.encode(batch.column("text"))
             ids.append(np.insert(flat, np.cumsum(each), END))
             names, counts = names + batch.column("doc_id").to_pylist(), counts + (each + 1).tolist()
             n += len(ids[-1])
