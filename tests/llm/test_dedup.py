@@ -5,7 +5,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-import xxhash
 
 from footfall.llm import graph, lines, minhash, suffixes
 
@@ -125,17 +124,12 @@ def test_lines(spark):
             if _norm(line):
                 nodes[_norm(line)].append((i, p))
     keys = list(nodes)
-
-    def simhash(norm):
-        h = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in norm.split(" ")]
-        return sum(1 << b for b in range(63) if 2 * sum(x >> b & 1 for x in h) > len(h))
-
-    hashes, want = [simhash(k) for k in keys], Sets()
+    want = Sets()
     for i, a in enumerate(keys):
         want.find(i)
         for j in range(i):
             longer = max(len(a), len(keys[j]))
-            if (hashes[i] ^ hashes[j]).bit_count() <= 2 and abs(len(a) - len(keys[j])) <= longer // 10:
+            if abs(len(a) - len(keys[j])) <= longer // 10:
                 if _distance(a, keys[j]) <= longer * 10 // 100:
                     want.link(i, j)
     groups = defaultdict(list)
