@@ -56,7 +56,7 @@ def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     found = classify(docs, table(spark, sf_dir, "labels"))
-    return found.select("doc.doc_id", "text_score", "meta_score", "score", "kept")
+    return found.select("doc_id", "text_score", "meta_score", "score", "kept")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

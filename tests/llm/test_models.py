@@ -7,6 +7,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from footfall.llm import hnsw, queries, quality, toxicity
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -55,7 +57,7 @@ def test_toxicity_of_odd_documents(odd_docs, odd_labels, no_docs):
 
 def test_quality(marked):
     docs, labels, truth = marked
-    got = {r.doc.doc_id: r for r in quality.classify(docs, labels).collect()}
+    got = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
     good = [i for i in truth if truth[i][0]]
     assert np.mean([got[i].kept for i in good]) > 0.98
     assert np.mean([not got[i].kept for i in truth if not truth[i][0]]) > 0.95
@@ -64,11 +66,40 @@ def test_quality(marked):
 
 def test_quality_of_odd_documents(odd_docs, odd_labels, no_docs):
     out = quality.classify(odd_docs, odd_labels)
-    assert out.count() == odd_docs.count() and out.select("doc.*").columns == odd_docs.columns
+    assert out.count() == odd_docs.count()
+    twice = [sorted(map(str, quality.classify(x, odd_labels).collect())) for x in (odd_docs, odd_docs.repartition(3))]
+    assert twice[0] == twice[1]
     assert quality.drop_rejected(odd_docs, odd_labels.where("false")).count() == odd_docs.count()
     assert quality.classify(no_docs, odd_labels).count() == 0
 
 
+def test_co_training_is_that_of_one_machine(spark, marked):
+    """All rows without a label are in the pool: the same views as with the pool in memory."""
+    docs, labels, _ = marked
+    rows = quality.featured(docs)
+    model = quality.train(rows, labels, most=150)
+    ids = sorted(r.doc_id for r in labels.where("quality IS NOT NULL").select("doc_id").distinct().collect())
+    table = {r.doc_id: (r.x, r.names) for r in rows.collect()}
+    drawn = [r.doc_id for r in labels.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(150).collect()]
+    assert set(drawn) <= set(ids)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    drawn = sorted(drawn)
+    pick = lambda some: (np.array([table[i][0] for i in some]), np.array([table[i][1] for i in some]))
+    x, names = pick(drawn)
+    px, pn = pick([i for i in table if i not in set(drawn)])
+    y = np.array([truth[i] for i in drawn], float)
+    apart = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in drawn])
+
+    def pool(views, teachers):
+        for view, teacher in zip(views, teachers):
+            at, label = quality.sure(teacher, px, pn)
+            yield view.sums(px[at], pn[at], label)
+
+    for got, want in zip((model.text, model.meta), quality.co_train(x, names, y, apart, pool)):
+        assert np.allclose(got.weights, want.weights, atol=1e-9)
+    assert sum(len(quality.sure(v, px, pn)[0]) for v in (model.text, model.meta)) > 100
+
+
 @pytest.mark.parametrize("shard_rows", [10_000, 200])
 def test_near_vectors(spark, shard_rows):
     rng = np.random.default_rng(4)
