@@ -53,8 +53,9 @@ def linked(
     buckets: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     prepare: Callable[[DataFrame], object] | None = None,
-    bound: tuple[Callable[[DataFrame], DataFrame], str] | None = None,
+    bound: tuple[Callable[[DataFrame], DataFrame] | None, str] | None = None,
     turns: int = 2,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Components under the links that ``verify`` keeps among pairs that share a bucket.
 
@@ -65,7 +66,10 @@ def linked(
     bucket across two components meets in full, so no link between components is lost; the
     largest component of a bucket is not paired with itself. ``bound`` keeps pairs from that
     last step that cannot be links: a function from (id) to (id, ...) rows, and a condition
-    over ``l`` and ``r`` with those columns. Returns (id, component_id) for every linked id.
+    over ``l`` and ``r`` with those columns; or ``narrow`` gives that step other buckets: from
+    the (id, part) still open, (bucket, id, ...) rows such that every link between them shares
+    one, with the condition as the second of ``bound``, whose first is None then. Returns (id,
+    component_id) for every linked id.
     """
     # A window sorts a bucket's rows, on disk if they are many: one exchange, no join.
     size = F.count("*").over(W.partitionBy("bucket"))
@@ -82,11 +86,13 @@ def linked(
         else:
             now = now.join(parts.select("id", F.col("component_id").alias("part")), "id", "left")
             now = now.withColumn("part", F.coalesce("part", "id"))
-            mixed = now.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
-            now = cut(now.join(mixed.select("bucket"), "bucket"), "open")
+            now = cut(_mixed(now), "open")
             if now.isEmpty():
                 break
         if turn == turns:
+            if narrow is not None:
+                ids = cut(now.select("id", "part").distinct(), "still")
+                now = cut(_mixed(narrow(ids).join(ids, "id")), "narrow")
             pairs = _across(now, bound)
         else:
             rank = F.struct("popular", -F.col("id"))
@@ -111,12 +117,18 @@ def linked(
     return parts
 
 
+def _mixed(now: DataFrame) -> DataFrame:
+    """The rows of buckets with members of several parts."""
+    mixed = now.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
+    return now.join(mixed.select("bucket"), "bucket")
+
+
 def _across(now: DataFrame, bound) -> DataFrame:
     """Pairs (a, b) that share a bucket in different parts."""
     condition = "l.part <> r.part AND (r.largest OR l.id < r.id)"
     if bound is not None:
-        extra = cut(bound[0](now.select("id").distinct()), "bounds")
-        now = now.join(extra, "id")
+        if bound[0] is not None:
+            now = now.join(cut(bound[0](now.select("id").distinct()), "bounds"), "id")
         condition = f"{condition} AND {bound[1]}"
     count = now.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     top = count.groupBy("bucket").agg(F.max_by("part", F.struct("n", "part")).alias("top"))

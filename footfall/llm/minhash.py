@@ -132,17 +132,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         found = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>")
         sets.append(cut(found, "sets"))
 
-    def bound(ids: DataFrame) -> DataFrame:
-        """How many shingles of a document any other of ``ids`` has too."""
-        each = sets[0].join(ids, "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
-        single = each.groupBy("shingle").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1")
-        single = single.groupBy("id").agg(F.count("*").alias("own"))
-        left = counts.join(ids, "id", "left_semi").join(single, "id", "left")
-        return left.select("id", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("common"))
-
-    # Both sets hold what they have in common, and nothing that only one document has.
-    most = "least(l.common, r.common)"
-    possible = f"100 * {most} >= {percent} * (l.n + r.n - {most})"
+    def rarest(ids: DataFrame) -> DataFrame:
+        """Of each document as many of its rarest shingles that a similar one has at least one of
+        them: (bucket, id, n, place), without shingles that no other of ``ids`` has."""
+        each = sets[0].join(ids.select("id"), "id", "left_semi").select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+        each = cut(each, "each")
+        uses = each.groupBy("shingle").agg(F.count("*").alias("uses"))
+        ordered = F.sort_array(F.collect_list(F.struct("uses", "shingle")))
+        first = F.expr(f"n - CAST(ceil({percent} * n / 100) AS INT) + 1")
+        held = each.join(uses, "shingle").groupBy("id", "n").agg(ordered.alias("held")).select("id", "n", F.slice("held", F.lit(1), first).alias("held"))
+        held = held.select("id", "n", F.posexplode("held").alias("place", "one"))
+        return held.where("one.uses > 1").select(F.col("one.shingle").alias("bucket"), "id", "n", "place")
+
+    # What follows the first shared one of the rarest is all that two sets can share besides.
+    possible = (
+        f"100 * least(l.n, r.n) >= {percent} * greatest(l.n, r.n) AND "
+        f"{100 + percent} * least(l.n - l.place, r.n - r.place) >= {percent} * (l.n + r.n)"
+    )
 
     def verify(pairs: DataFrame) -> DataFrame:
         for end in "ab":
@@ -153,7 +159,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         shared = F.size(F.array_intersect("sa", "sb"))
         return pairs.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
-    parts = linked(buckets, verify, prepare, (bound, possible))
+    parts = linked(buckets, verify, prepare, (None, possible), narrow=rarest)
     one, two, n = "one", "two", "n_shingles"
     # A null id never joins: its row keeps no class.
     by_set = classes.select(one, two, n, "id").join(parts, "id", "left")

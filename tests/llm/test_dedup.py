@@ -95,6 +95,37 @@ def test_near_copies_of_a_large_group(spark, words_of):
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == {a: want.find(a) for a in want.up}
 
 
+def test_pairs_grow_with_a_group_of_near_copies(spark, monkeypatch):
+    """1,600 copies with edits, most of them too many: not every two of them are compared, and
+    components are those of brute force."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(1600):
+        w = list(base)
+        for at in rng.integers(0, 120, rng.integers(0, 12)):
+            w[at] = f"x{rng.integers(10**6)}"
+        texts.append(" ".join(w))
+    names, sets = {}, []
+    for t in texts:
+        w = t.split()
+        sets.append({names.setdefault(tuple(w[i : i + 5]), len(names)) for i in range(len(w) - 4)})
+    has = np.zeros((len(texts), len(names)), np.float32)
+    for i, s in enumerate(sets):
+        has[i, list(s)] = 1
+    size = has.sum(axis=1)
+    shared = has @ has.T
+    want = Sets()
+    for a, b in zip(*np.nonzero(100 * shared >= 85 * (size[:, None] + size[None, :] - shared))):
+        want.link(int(a), int(b))
+    seen, real = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df, label: (seen.append((label, real(df, label))), seen[-1][1])[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == {a: want.find(a) for a in range(len(texts))}
+    assert sum(df.count() for label, df in seen if label == "pairs") < 30 * len(texts)
+
+
 def _norm(line):
     for c in "\t\r\x0b\x0c":
         line = line.replace(c, " ")
