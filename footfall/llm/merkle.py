@@ -214,7 +214,9 @@ def verify(docs: DataFrame) -> DataFrame:
     else:
         path = cut(steps(leaves, nodes, n_trees), "path")
         with _any_number_of_rows(spark):
-            held = F.sort_array(F.collect_list(F.struct("step", "siblings", "folded", "doc_id", "leaf"))).alias("held")
+            # Of what was folded only the last goes on.
+            last = F.when(F.col("up").isNull(), F.col("folded")).alias("folded")
+            held = F.sort_array(F.collect_list(F.struct("step", "siblings", last, "doc_id", "leaf"))).alias("held")
             found = climb(leaves, path).groupBy("tree", "at", "block").agg(held).select(
                 "tree", "block", F.expr("held[0].doc_id").alias("doc_id"), F.expr("held[0].leaf").alias("leaf"),
                 F.unhex(F.array_join(F.transform("held", lambda x: F.coalesce(F.hex(x["siblings"]), F.lit(""))), "")).alias("proof"),
