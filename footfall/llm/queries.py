@@ -120,8 +120,8 @@ CRC = """(xor(list_reduce(
     lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])
 ), 4294967295))"""
 
-#: For the rest SQL can't express the result: trained models, random draws, SimHash over a
-#: 64-bit hash that DuckDB lacks, and tokenizers. The tests hold them against brute force.
+#: For the rest SQL can't express the result: trained models, random draws, 64-bit hashes
+#: that DuckDB lacks, and tokenizers. The tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_minhash": rf"""
         WITH RECURSIVE words AS (
