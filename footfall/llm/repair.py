@@ -17,7 +17,7 @@ from .word_ids import SLICE, encoder
 END = 1  # id that closes a document
 CHUNK = 1 << 20  # ids that share a grammar, about; a longer document stays whole
 FIRST_RULE = 1 << 16  # nonterminals start here, above the ids
-PAIRS, LEAST = 4096, 16  # pairs replaced in a round, at most; uses of a pair that is replaced
+PAIRS, LEAST = 1 << 14, 16  # pairs replaced in a round, at most; uses of a pair that is replaced
 FILES = "shard int, chunk int, doc_ids array<long>, counts array<int>, n_ids long, rules binary, lengths binary, sequence binary"
 
 
@@ -33,7 +33,12 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rules, lengths = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
     while len(sequence) >= 2:
         pair = sequence[:-1] << 32 | sequence[1:]
-        ordered = np.sort(pair)
+        # Pairs whose hash is too rare are not frequent; only the others are sorted and looked up.
+        short = _short(pair)
+        maybe = np.flatnonzero(np.bincount(short, minlength=1 << 20)[short] >= LEAST)
+        if not len(maybe):
+            break
+        ordered = np.sort(pair[maybe])
         at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         uses = np.diff(np.append(at, len(ordered)))
         often = np.flatnonzero(uses >= LEAST)
@@ -42,10 +47,9 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(often) > PAIRS:
             often = np.sort(often[np.argsort(-uses[often], kind="stable")[:PAIRS]])
         chosen = ordered[at[often]]
-        # A small table of hashes leaves few pairs to look up.
-        likely = np.zeros(1 << 16, bool)
+        likely = np.zeros(1 << 20, bool)
         likely[_short(chosen)] = True
-        maybe = np.flatnonzero(likely[_short(pair)])
+        maybe = maybe[likely[short[maybe]]]
         found = np.minimum(np.searchsorted(chosen, pair[maybe]), len(chosen) - 1)
         real = chosen[found] == pair[maybe]
         hit = np.zeros(len(pair), bool)
@@ -67,7 +71,7 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _short(pairs: np.ndarray) -> np.ndarray:
-    return (pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
 
 def _lengths(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 8 << 20  # bytes of text encoded at once, about
+SLICE = 4 << 20  # bytes of text encoded at once, about
 KNOWN_WORDS = 1 << 18  # words whose ids a worker remembers from one slice to the next, at most
 KNOWN_BYTES = 64  # of such a word at most
 
