@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, joined, slices, small
+from .logistic import Sparse, logistic
 from .minhash import word_hashes
-from .toxicity import Sparse, logistic
 
 TRAIN_ROWS = 12_000  # labelled rows, at most
 ROUNDS, STEPS = 4, 2  # of exchanging pseudo-labels; Newton steps of each view in a round

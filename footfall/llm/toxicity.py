@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,19 +15,22 @@ from .common import cut, mixed, random_words, slices
 
 ORDERS = (3, 4, 5, 6)  # characters of an n-gram
 TRAIN_ROWS = 12_000  # labelled rows that a model learns from, at most
-FEATURES = 1024  # n-grams in a model, at most
-LEAST_Z = 4.0  # standard errors that a log-count ratio is away from 0
-BINS = 1 << 20  # in which n-grams are counted first
+BITS = 21  # that name a feature: one tells if the n-gram crosses words, the others are of its hash
+ACROSS = 0.1  # of its log-count ratio is the scale of an n-gram that crosses words
+PARTS = 16  # tasks of a pass over the labelled rows, at most; each returns 4 bytes a feature
+PENALTY = 0.1  # on the squared weights, against the loss summed over rows
+STEPS = 20
+BLOCK = 1 << 20  # characters that are hashed at a time
 FOLDS = 5
 
 _PLACE = random_words(max(ORDERS), 11) | np.uint64(1)
-_TOP = np.uint64(64 - 20)
+_TOP = np.uint64(65 - BITS)
+_LOSS_UNIT = 1 << 20
 
 
 @dataclass
 class Model:
-    grams: np.ndarray  # sorted 64-bit hashes
-    weights: np.ndarray  # log-count ratio times the learned weight
+    weights: np.ndarray  # of each feature, log-count ratio times the learned weight
     bias: float
 
 
@@ -43,170 +46,181 @@ def _characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint32), np.concatenate([[0], np.cumsum(n)])
 
 
-def _grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each order: the hash of the n-gram at each place, and the place where texts start."""
-    codes, starts = _characters(texts)
+def _hashed(codes: np.ndarray) -> dict[int, np.ndarray]:
+    """For each order: the feature of the n-gram at each place. One crosses words if a blank or
+    control character stands between its first and its last character."""
+    blanks = np.concatenate([[0], np.cumsum(codes <= 32, dtype=np.int32)])
     mixed_codes = mixed(codes.astype(np.uint64) + np.uint64(1))
-    total = np.zeros(len(codes), np.uint64)
-    for n in range(1, max(ORDERS) + 1):
-        if len(codes) < n:
-            return
+    total, out = np.zeros(len(codes), np.uint64), {}
+    for n in range(1, min(max(ORDERS), len(codes)) + 1):
         total = total[: len(codes) - n + 1] + mixed_codes[n - 1 :] * _PLACE[n - 1]
         if n in ORDERS:
-            yield n, total + np.uint64(n), starts
+            across = blanks[n - 1 : -1] > blanks[1 : len(total) + 1]
+            out[n] = ((total + np.uint64(n)) >> _TOP).astype(np.int32) | across.astype(np.int32) << (BITS - 1)
+    return out
+
+
+def features(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The distinct features of each text. A text too short for an n-gram, or null, has none."""
+    codes, starts = _characters(texts)
+    last = np.empty(1 << BITS, np.int32)
+    lap = max(ORDERS) - 1
+
+    def distinct(parts: list[np.ndarray]) -> np.ndarray:
+        found = np.concatenate([np.zeros(0, np.int32), *parts])
+        at = np.arange(len(found), dtype=np.int32)
+        last[found] = at
+        return found[last[found] == at]
+
+    doc = 0
+    while doc < len(starts) - 1:
+        to = max(doc + 1, int(np.searchsorted(starts, starts[doc] + BLOCK, "right")) - 1)
+        if starts[to] - starts[doc] > BLOCK:  # one long text
+            cuts = range(starts[doc], starts[to], BLOCK)
+            pieces = [distinct(list(_hashed(codes[at : min(at + BLOCK + lap, starts[to])]).values())) for at in cuts]
+            yield distinct(pieces)
+        else:
+            found = _hashed(codes[starts[doc] : starts[to]])
+            for lo, hi in zip(starts[doc:to] - starts[doc], starts[doc + 1 : to + 1] - starts[doc]):
+                yield distinct([f[lo : max(lo, hi - n + 1)] for n, f in found.items()])
+        doc = to
+
+
+def _summed(sample: DataFrame, rates: Callable[[float, int], float], weights: np.ndarray, bias: float, unit: int) -> tuple[np.ndarray, int, int]:
+    """For each feature the sum of ``rates(z, toxic)`` over the rows that have it, the sum over
+    all rows, and the loss, in whole units: sums don't depend on the order of rows."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, total, loss = np.zeros(1 << BITS, np.int32), 0, 0
+        for batch in slices(batches, "text"):
+            for toxic, found in zip(batch.column("toxic").to_pylist(), features(batch.column("text"))):
+                z = bias + float(weights[found].sum(dtype=np.float64))
+                rate = round(rates(z, toxic) * unit)
+                sums[found] += rate
+                total += rate
+                loss += round((np.logaddexp(0, z) - toxic * z) * _LOSS_UNIT)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([sums.tobytes()], pa.binary()), pa.array([total], pa.int64()), pa.array([loss], pa.int64())],
+            ["sums", "total", "loss"],
+        )
+
+    parts = sample.coalesce(PARTS).mapInArrow(add, "sums binary, total long, loss long").toArrow()
+    sums = np.zeros(1 << BITS, np.int64)
+    for part in parts.column("sums"):
+        sums += np.frombuffer(part.as_buffer(), np.int32)
+    return sums, sum(parts.column("total").to_pylist()), sum(parts.column("loss").to_pylist())
+
 
+def _slope(z: float, toxic: int) -> float:
+    return float(1 / (1 + np.exp(-np.clip(z, -500, 500)))) - toxic
 
-def _found(texts: pa.Array, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, n-gram) for each n-gram of a text whose bin is wanted, once each."""
-    docs, grams = [], []
-    for n, hashes, starts in _grams(texts):
-        at = np.flatnonzero(wanted[hashes >> _TOP])
-        doc = np.searchsorted(starts, at, "right") - 1
-        inside = at + n <= starts[doc + 1]
-        docs.append(doc[inside])
-        grams.append(hashes[at[inside]])
-    if not docs:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    doc, gram = np.concatenate(docs), np.concatenate(grams)
-    order = np.lexsort((gram, doc))
-    doc, gram = doc[order], gram[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1])
-    return doc[new], gram[new]
 
+def ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Log-count ratios of features. Counts are scaled to the size of the rarer class, so that
+    adding one to both favours neither and a feature of few rows stays near 0."""
+    fewest = min(n_toxic, n_clean)
+    return np.log(toxic * (fewest / n_toxic) + 1) - np.log(clean * (fewest / n_clean) + 1)
 
-def _ratio(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> tuple[np.ndarray, np.ndarray]:
-    ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((clean + 1) / (n_clean + 2))
-    return ratio, ratio / np.sqrt(1 / (toxic + 1) + 1 / (clean + 1))
+
+def scales(names: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """What features are scaled by: log-count ratios, times the standard errors by which their
+    toxic rows differ from the expected number. No feature is left out, but the many that tell
+    little take no weight from a word of few rows; those that cross words, of which each text
+    has many for itself, count ACROSS of that."""
+    share = n_toxic / (n_toxic + n_clean)
+    expected = (toxic + clean) * share
+    errors = np.abs(toxic - expected) / np.sqrt(expected * (1 - share))
+    return ratios(toxic, clean, n_toxic, n_clean) * errors * np.where(names >> (BITS - 1), ACROSS, 1.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Learn from at most ``rows`` labelled documents, drawn by a hash of their ids from those
     whose crc32(doc_id) mod 5 is not 0.
 
-    Documents with an n-gram are counted per class, first in bins, then exactly for n-grams in
-    bins whose ratio is significant; the significant n-grams, scaled by their ratio, get weights
-    by logistic regression. Labels that are null, or without a document, count for nothing.
+    Every n-gram counts: its hash names one of 2^BITS features, which a text has or not. Each
+    feature is scaled by its log-count ratio (see scales), and weights are learned by logistic regression
+    with a penalty on their squares; a pass over the rows sums the slopes in Spark, and sums of
+    the model's size reach the driver. Nothing is chosen, so there are no ties to break. Rows
+    that repeat a doc_id each count; of several labels the highest holds. Labels that are null,
+    or without a document, count for nothing. Without rows of both classes all scores are the
+    share of toxic rows.
     """
-    spark = docs.sparkSession
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marked = marked.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("doc_id", "text", "toxic")
-    sample = cut(sample.repartition(spark.sparkContext.defaultParallelism * 2, "doc_id"), "labelled")
+    sample = cut(sample.repartition(PARTS, F.xxhash64("doc_id", "text")), "labelled")
     sizes = {toxic: n for toxic, n in sample.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     bias = float(np.log((n_toxic + 0.5) / (n_clean + 1.5)))
-    none = Model(np.zeros(0, np.uint64), np.zeros(0), bias)
+    weights = np.zeros(1 << BITS, np.float32)
     if not n_toxic or not n_clean:
-        return none
-
-    def count_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros((2, BINS), np.int32)
-        for batch in slices(batches, "text"):
-            toxic = np.asarray(batch.column("toxic"), np.int64) > 0
-            seen: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
-            for n, hashes, starts in _grams(batch.column("text")):
-                bins = (hashes >> _TOP).astype(np.int32)
-                for doc, (lo, hi) in enumerate(zip(starts[:-1], starts[1:])):
-                    seen[doc].append(bins[lo : max(lo, hi - n + 1)])
-            for doc, parts in enumerate(seen):
-                if parts:
-                    count[int(toxic[doc]), np.unique(np.concatenate(parts))] += 1
-        some = np.flatnonzero(count.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int32()), pa.array(count[1, some], pa.int64()), pa.array(count[0, some], pa.int64())],
-            ["bin", "toxic", "clean"],
-        )
-
-    bins = sample.mapInArrow(count_bins, "bin int, toxic long, clean long")
-    bins = bins.groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where("toxic > 2").toArrow()
-    _, z = _ratio(np.asarray(bins["toxic"]), np.asarray(bins["clean"]), n_toxic, n_clean)
-    wanted = np.zeros(BINS, bool)
-    wanted[np.asarray(bins["bin"])[np.abs(z) >= LEAST_Z]] = True
-
-    def list_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            doc, gram = _found(batch.column("text"), wanted)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(doc)), batch.column("toxic").cast(pa.int32()).take(pa.array(doc)), pa.array(gram.view(np.int64))],
-                ["doc_id", "toxic", "gram"],
-            )
-
-    grams = sample.mapInArrow(list_grams, "doc_id long, toxic int, gram long")
-    counts = grams.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where("toxic > 2").toArrow()
-    toxic = np.asarray(counts["toxic"])
-    ratio, z = _ratio(toxic, np.asarray(counts["n"]) - toxic, n_toxic, n_clean)
-    best = np.argsort(-np.abs(z), kind="stable")[:FEATURES]
-    best = best[np.abs(z[best]) >= LEAST_Z]
-    if not len(best):
-        return none
-    chosen, ratio = np.asarray(counts["gram"]).view(np.uint64)[best], ratio[best]
-    order = np.argsort(chosen)
-    chosen, ratio = chosen[order], ratio[order]
-    keep = spark.createDataFrame([(int(g),) for g in chosen.view(np.int64)], "gram long")
-    rows_ = grams.join(F.broadcast(keep), "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams"))
-    lists = sample.select("doc_id", "toxic").join(rows_, "doc_id", "left").toArrow()
-    y = np.asarray(lists["toxic"], np.float64)
-    found = [np.array(g or [], np.int64).view(np.uint64) for g in lists["grams"].to_pylist()]
-    at = np.searchsorted(chosen, np.concatenate(found))
-    row = np.repeat(np.arange(len(y)), [len(g) for g in found])
-    weights, bias = logistic(Sparse(row, at, ratio[at], (len(y), len(chosen))), y)
-    return Model(chosen, weights * ratio, bias)
-
-
-@dataclass
-class Sparse:
-    """A matrix as (row, column, value) triples."""
-
-    rows: np.ndarray
-    columns: np.ndarray
-    values: np.ndarray
-    shape: tuple[int, int]
-
-    def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.rows, self.values * w[self.columns], self.shape[0])
-
-    def back(self, s: np.ndarray) -> np.ndarray:
-        return np.bincount(self.columns, self.values * s[self.rows], self.shape[1])
-
-
-def logistic(x: Sparse, y: np.ndarray, penalty: float = 1e-4, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic regression by accelerated gradient descent. Deterministic."""
-    n, k = x.shape
-    w, b = np.zeros(k), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
-    ahead, ahead_b, pace = w, b, 1.0
-    v = np.ones(k) / max(k, 1) ** 0.5
-    for _ in range(20):  # the largest curvature
-        v = x.back(x.times(v))
-        v /= max(np.linalg.norm(v), 1e-12)
-    rate = 1 / (0.25 * (np.linalg.norm(x.times(v)) ** 2 / n + 1) + penalty)
+        return Model(weights, bias)
+    toxic, _, _ = _summed(sample, lambda z, toxic: toxic, weights, 0.0, 1)
+    clean, _, _ = _summed(sample, lambda z, toxic: 1 - toxic, weights, 0.0, 1)
+    used = np.flatnonzero(toxic + clean)
+    ratio = scales(used, toxic[used], clean[used], n_toxic, n_clean)
+    unit = (1 << 30) // (n_toxic + n_clean)
+
+    def spread(point: np.ndarray) -> np.ndarray:
+        out = np.zeros(1 << BITS, np.float32)
+        out[used] = ratio * point[:-1]
+        return out
+
+    def measured(point: np.ndarray) -> tuple[float, np.ndarray]:
+        sums, total, loss = _summed(sample, _slope, spread(point), float(point[-1]), unit)
+        slope = np.append(ratio * sums[used] / unit + PENALTY * point[:-1], total / unit)
+        return loss / _LOSS_UNIT + PENALTY / 2 * float(point[:-1] @ point[:-1]), slope
+
+    best = descend(measured, np.append(np.zeros(len(used)), bias))
+    return Model(spread(best), float(best[-1]))
+
+
+def descend(measured: Callable[[np.ndarray], tuple[float, np.ndarray]], point: np.ndarray, steps: int = STEPS, memory: int = 4) -> np.ndarray:
+    """The least point of a smooth convex function, by limited-memory quasi-Newton steps."""
+    value, slope = measured(point)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    first = float(np.linalg.norm(slope))
     for _ in range(steps):
-        slope = 1 / (1 + np.exp(-np.clip(x.times(ahead) + ahead_b, -500, 500))) - y
-        new_w = ahead - rate * (x.back(slope) / n + penalty * ahead)
-        new_b = ahead_b - rate * slope.mean()
-        new_pace = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
-        ahead = new_w + (pace - 1) / new_pace * (new_w - w)
-        ahead_b = new_b + (pace - 1) / new_pace * (new_b - b)
-        w, b, pace = new_w, new_b, new_pace
-    return w, b
+        way, parts = -slope, []
+        for move, turn in reversed(moves):
+            part = float(move @ way) / float(move @ turn)
+            way = way - part * turn
+            parts.append(part)
+        if moves:
+            move, turn = moves[-1]
+            way = way * (float(move @ turn) / float(turn @ turn))
+        else:
+            way = way / max(first, 1e-12)
+        for (move, turn), part in zip(moves, reversed(parts)):
+            way = way + (part - float(turn @ way) / float(move @ turn)) * move
+        size, fall = 1.0, float(slope @ way)
+        while True:
+            there, slope_there = measured(point + size * way)
+            if there <= value + 1e-4 * size * fall or size < 1e-3:
+                break
+            size /= 2
+        if there >= value:
+            break
+        move, turn = size * way, slope_there - slope
+        if float(move @ turn) > 0:
+            moves = [*moves, (move, turn)][-memory:]
+        point, done = point + move, value - there < 1e-4 * value
+        value, slope = there, slope_there
+        if done or np.linalg.norm(slope) < 1e-3 * first:
+            break
+    return point
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of each row of ``docs``, from its whole text and nothing else. A null or
-    empty text scores as one without any n-gram of the model."""
-    wanted = np.zeros(BINS, bool)
-    wanted[model.grams >> _TOP] = True
+    empty text scores as one without any n-gram; repeated rows score alike."""
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            doc, gram = _found(batch.column("text"), wanted)
-            at = np.minimum(np.searchsorted(model.grams, gram), max(len(model.grams) - 1, 0))
-            real = model.grams[at] == gram if len(model.grams) else np.zeros(len(gram), bool)
-            weight = model.weights[at[real]] if len(model.grams) else np.zeros(0)
-            z = model.bias + np.bincount(doc[real], weight, batch.num_rows)
+            z = np.array([float(model.weights[found].sum(dtype=np.float64)) for found in features(batch.column("text"))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], ["doc_id", "score"]
+                [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(model.bias + z, -500, 500))))], ["doc_id", "score"]
             )
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
