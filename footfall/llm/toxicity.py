@@ -15,7 +15,7 @@ from .common import cut, mixed, random_words, slices
 
 ORDERS = (3, 4, 5, 6)  # characters of an n-gram
 TRAIN_ROWS = 12_000  # labelled rows that a model learns from, at most
-BITS = 21  # that name a feature: one tells if the n-gram crosses words, the others are of its hash
+BITS = 20  # that name a feature: one tells if the n-gram crosses words, the others are of its hash
 ACROSS = 0.1  # of its log-count ratio is the scale of an n-gram that crosses words
 PARTS = 16  # tasks of a pass over the labelled rows, at most; each returns 4 bytes a feature
 PENALTY = 0.1  # on the squared weights, against the loss summed over rows
@@ -88,10 +88,12 @@ def features(texts: pa.Array) -> Iterator[np.ndarray]:
 
 def _summed(sample: DataFrame, rates: Callable[[float, int], float], weights: np.ndarray, bias: float, unit: int) -> tuple[np.ndarray, int, int]:
     """For each feature the sum of ``rates(z, toxic)`` over the rows that have it, the sum over
-    all rows, and the loss, in whole units: sums don't depend on the order of rows."""
+    all rows, and the loss, in whole units: sums don't depend on the order of rows. The weights
+    are broadcast for this pass only, so that passes don't pile up on the executors' disks."""
+    sent = sample.sparkSession.sparkContext.broadcast(weights)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, total, loss = np.zeros(1 << BITS, np.int32), 0, 0
+        weights, sums, total, loss = sent.value, np.zeros(1 << BITS, np.int32), 0, 0
         for batch in slices(batches, "text"):
             for toxic, found in zip(batch.column("toxic").to_pylist(), features(batch.column("text"))):
                 z = bias + float(weights[found].sum(dtype=np.float64))
@@ -105,6 +107,7 @@ def _summed(sample: DataFrame, rates: Callable[[float, int], float], weights: np
         )
 
     parts = sample.coalesce(PARTS).mapInArrow(add, "sums binary, total long, loss long").toArrow()
+    sent.destroy(blocking=True)
     sums = np.zeros(1 << BITS, np.int64)
     for part in parts.column("sums"):
         sums += np.frombuffer(part.as_buffer(), np.int32)
