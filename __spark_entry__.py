@@ -20,9 +20,12 @@ from pyspark.sql import functions as F
 
 from footfall.operators import (
     accepted_values,
+    active_users,
     assign_cohorts,
+    daily_sketches,
     funnel,
     not_null,
+    relative_error,
     retention,
     run_checks,
     sample_fidelity,
@@ -31,7 +34,8 @@ from footfall.operators import (
     stage_events,
     unique,
 )
-from footfall.plans import activity, conversion, loyalty
+from footfall.operators.sketches import PERIODS
+from footfall.plans import activity, conversion, loyalty, segments
 from footfall.plans.daily import build_marts, check_layers
 from footfall.schema import RAW_EVENTS, STAGES
 from footfall.session import scratch_path
@@ -47,6 +51,7 @@ from footfall.sources import (
     read_layout,
     reload_raw_events,
     snapshot_manifest,
+    write_bucketed,
     write_layout,
 )
 from footfall.sources.layers import RAW_TABLE, STAGING_VIEW, TABLES
@@ -65,6 +70,7 @@ else:
 ENTRY_DIR = "/root/testdata/sf0.001"
 
 ADAPTERS = {"": events_as_clicks, "_orders": orders_as_clicks}
+BUCKETS_HERE = 16
 LOOKUP_DAY = {"": dt.date(2024, 1, 15), "_orders": dt.date(1998, 6, 15)}
 
 
@@ -114,6 +120,10 @@ OVER_EVENTS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "snapshots": lambda raw, stg: _snapshots(stg, manifest=True),
     "snapshot_load": lambda raw, stg: _snapshots(stg, manifest=False),
     "sql_text": lambda raw, stg: _sql_text(stg),
+    "sketched_actives": lambda raw, stg: _sketched_actives(stg),
+    "rfm_scores": lambda raw, stg: segments.rfm_scores(stg),
+    "rfm_segments": lambda raw, stg: segments.rfm_segments(stg),
+    "bucketed_cohort_value": lambda raw, stg: _bucketed_cohort_value(stg),
 }
 
 
@@ -209,6 +219,32 @@ def _sql_text(stg: DataFrame) -> DataFrame:
     """)
 
 
+def _sketched_actives(stg: DataFrame) -> DataFrame:
+    """Exact actives of each period, and whether merged daily sketches come within four standard
+    errors of them."""
+    sketches = _written(daily_sketches(stg), "sketches")
+    found = []
+    for unit, period in PERIODS.items():
+        exact = stg.groupBy(period(F.col("event_at")).alias("period")).agg(F.count_distinct("user_id").alias("users"))
+        both = exact.join(active_users(sketches, unit), "period")
+        found.append(both.select(F.lit(unit).alias("unit"), "period", "users", "active_users"))
+    days, weeks, months = found
+    within = F.abs(F.col("active_users") - F.col("users")) <= F.ceil(F.col("users") * (4 * relative_error()))
+    return days.union(weeks).union(months).select("unit", "period", "users", within.alias("within"))
+
+
+def _bucketed_cohort_value(stg: DataFrame) -> DataFrame:
+    """Revenue by cohort over bucketed tables of sessions and cohorts, in a database that goes."""
+    spark, database = stg.sparkSession, f"b{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        sessions = write_bucketed(sessionize(stg), f"{database}.sessions", buckets=BUCKETS_HERE)
+        cohort = write_bucketed(assign_cohorts(stg), f"{database}.cohort", buckets=BUCKETS_HERE)
+        return _written(loyalty.cohort_value(sessions, cohort), "cohort_value")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def _bind(adapter: Callable, over: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = adapter(spark, sf_dir)
@@ -552,9 +588,48 @@ def _oracles(day: dt.date) -> dict[str, str]:
             SELECT brand, event_type, count(*) AS events, count(DISTINCT user_id) AS users,
                    min(event_at) AS first_at, max(price) AS top_price
             FROM stg GROUP BY brand, event_type""",
+        "sketched_actives": " UNION ALL ".join(
+            f"""SELECT '{unit}' AS unit, CAST(date_trunc('{unit}', event_at) AS DATE) AS period,
+                       count(DISTINCT user_id) AS users, true AS within
+                FROM stg GROUP BY 2""" for unit in ("day", "week", "month")
+        ),
+        "rfm_scores": RFM_SQL,
+        "rfm_segments": f"""
+            SELECT segment, count(*) AS buyers, CAST(sum(orders) AS BIGINT) AS orders,
+                   CAST(sum(spent) AS DECIMAL(20, 2)) AS revenue
+            FROM ({RFM_SQL}) GROUP BY segment""",
+        "bucketed_cohort_value": """
+            SELECT c.cohort_month, count(DISTINCT s.user_id) AS users, count(*) AS sessions,
+                   count(*) FILTER (WHERE s.converted) AS converted,
+                   CAST(sum(s.revenue) AS DECIMAL(20, 2)) AS revenue
+            FROM sessions s JOIN cohort c ON c.user_id = s.user_id GROUP BY c.cohort_month""",
     }
 
 
+def _three_digits(number: str) -> str:
+    return (
+        f"CASE WHEN {number} < 1000 THEN {number} ELSE {number} // "
+        f"CAST(pow(10, length(CAST({number} AS VARCHAR)) - 3) AS BIGINT) * CAST(pow(10, length(CAST({number} AS VARCHAR)) - 3) AS BIGINT) END"
+    )
+
+
+def _fifth(by: str) -> str:
+    return f"CAST(1 + 5 * (rank() OVER (ORDER BY {by}) - 1) // count(*) OVER () AS INTEGER)"
+
+
+RFM_SQL = f"""
+    SELECT *, CASE WHEN recency >= 4 AND frequency >= 4 THEN 'champions' WHEN frequency >= 4 THEN 'loyal'
+                   WHEN recency >= 4 THEN 'recent' WHEN recency > 2 THEN 'steady'
+                   WHEN frequency <= 2 THEN 'lost' ELSE 'at risk' END AS segment
+    FROM (SELECT user_id, last_day, orders, CAST(spent AS DECIMAL(20, 2)) AS spent,
+                 {_fifth("last_day")} AS recency, {_fifth(_three_digits("orders"))} AS frequency,
+                 {_fifth(_three_digits("CAST(greatest(spent, 0) * 100 AS BIGINT)"))} AS money
+          FROM (SELECT user_id, max(CAST(event_at AS DATE)) AS last_day, count(*) AS orders,
+                       coalesce(sum(price), 0) AS spent
+                FROM stg WHERE event_type = 'purchase' GROUP BY user_id))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the keys of ``queries()`` that SQL can express."""
     return CORPUS_SQL | {

@@ -14,17 +14,21 @@ from footfall.operators.quality import (
 from footfall.operators.retention import retention, retention_from_weeks
 from footfall.operators.sampling import sample_fidelity, sample_users
 from footfall.operators.sessions import sessionize
+from footfall.operators.sketches import active_users, daily_sketches, relative_error
 from footfall.operators.staging import stage_events, staging_sql
 
 __all__ = [
     "CHECKS",
     "Check",
     "accepted_values",
+    "active_users",
     "assign_cohorts",
+    "daily_sketches",
     "first_touch",
     "funnel",
     "funnel_from_weeks",
     "not_null",
+    "relative_error",
     "require_passing",
     "retention",
     "retention_from_weeks",

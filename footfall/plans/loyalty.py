@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import exact, rounded
+from footfall.schema import MONEY
 
 # A rate has four places, so this holds it exactly and sums do not depend on row order.
 RATE = "decimal(10,4)"
@@ -91,3 +92,19 @@ def retention_drop_pp(retention: DataFrame, first: int = 1, second: int = 2) ->
     )
     a, b = (F.col(name) for name in named)
     return two.where((a != 0) & (b != 0)).withColumn("drop_pp", a - b)
+
+
+def cohort_value(sessions: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Users, sessions, sessions with a purchase, and revenue of each monthly cohort.
+
+    Sessions are folded to a row per user before they meet the cohort table. If both tables are
+    bucketed by user (``sources.bucketed``) neither step shuffles.
+    """
+    per_user = sessions.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("sessions"), F.count_if("converted").alias("converted"), F.sum("revenue").alias("spent"),
+    )
+    joined = cohort.select("user_id", "cohort_month").join(per_user, "user_id")
+    return joined.groupBy("cohort_month").agg(
+        F.count(F.lit(1)).alias("users"), F.sum("sessions").alias("sessions"), F.sum("converted").alias("converted"),
+        F.sum("spent").cast(MONEY).alias("revenue"),
+    )

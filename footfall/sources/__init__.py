@@ -1,6 +1,7 @@
 """Where events come from and where results go."""
 
 from footfall.sources.adapters import events_as_clicks, orders_as_clicks
+from footfall.sources.bucketed import write_bucketed
 from footfall.sources.csv_events import map_columns, read_events_csv, to_raw_events
 from footfall.sources.layers import (
     create_layers,
@@ -34,5 +35,6 @@ __all__ = [
     "require_columns",
     "snapshot_manifest",
     "to_raw_events",
+    "write_bucketed",
     "write_layout",
 ]
