@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -184,10 +185,14 @@ def sure(view: View, x: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _pool_sums(pool: DataFrame, views: list[View], teachers: list[View]) -> list[np.ndarray]:
-    """For each view the sums over all rows of the pool that its teacher is sure of. Tasks add up
-    their rows, Spark adds up tasks; the driver gets numbers of the models' size."""
+    """For each view the sums over all rows of the pool that its teacher is sure of. A task adds
+    up its rows and reports one cell of the models' size, some tasks more add up those cells; the
+    driver gets the square root of as many."""
     sizes = [len(v.weights) ** 2 + len(v.weights) + 1 for v in views]
 
+    def cell(total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(sum(sizes), np.int64)
         for batch in batches:
@@ -199,15 +204,25 @@ def _pool_sums(pool: DataFrame, views: list[View], teachers: list[View]) -> list
                     part = at[lo : lo + 2048]
                     total[base : base + size] += view.sums(x[part], names[part], y[lo : lo + 2048])
                 base += size
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["slot", "value"])
+        if total.any():
+            yield cell(total)
+
+    def summed(cells: Iterable[pa.Scalar]) -> np.ndarray:
+        total = np.zeros(sum(sizes), np.int64)
+        for one in cells:
+            total += np.frombuffer(one.as_buffer(), np.int64)
+        return total
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = summed(one for batch in batches for one in batch.column("sums"))
+        if total.any():
+            yield cell(total)
 
     # The features are small: as many parts as cores, since each reports sums of the models' size.
-    parts = pool.coalesce(pool.sparkSession.sparkContext.defaultParallelism).mapInArrow(added, "slot long, value long")
-    got = parts.groupBy("slot").agg(F.sum("value").alias("value")).toArrow()
-    total = np.zeros(sum(sizes), np.int64)
-    total[np.asarray(got["slot"])] = np.asarray(got["value"])
-    return np.split(total, np.cumsum(sizes)[:-1])
+    cores = pool.sparkSession.sparkContext.defaultParallelism
+    parts = pool.coalesce(cores).mapInArrow(added, "sums binary")
+    got = parts.repartition(math.isqrt(cores)).mapInArrow(merged, "sums binary").toArrow()
+    return np.split(summed(got["sums"]), np.cumsum(sizes)[:-1])
 
 
 def train(rows: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
