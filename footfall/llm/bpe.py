@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -175,18 +175,47 @@ def merge_word(data: bytes, single: list[int], pairs: dict[int, int]) -> list[in
     return [i for i in ids if i >= 0]
 
 
+Pass = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+CODED = "doc_id long, ids array<int>"
+DECODED = f"{CODED}, packed binary, decoded binary"
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = HOT_WORDS) -> DataFrame:
     """(doc_id, text) -> (doc_id, ids), one row per row; a null text counts as empty, an empty
-    text has no ids.
+    text has no ids."""
+    split = _split(docs, pattern)
+    return split.mapInArrow(_encoding(split, ranks, most), CODED)
+
+
+def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """(doc_id, ids) -> (doc_id, ids, packed, decoded): the ids as little-endian unsigned
+    32-bit integers, and the bytes that they stand for. An unknown id is an error."""
+    return tokens.mapInArrow(_decoding(tokens.sparkSession, ranks), DECODED)
+
+
+def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = HOT_WORDS) -> DataFrame:
+    """What ``decode`` makes of what ``encode`` gives, slice by slice in one Python worker a task
+    instead of two."""
+    split = _split(docs, pattern)
+    there, back = _encoding(split, ranks, most), _decoding(docs.sparkSession, ranks)
+    return split.mapInArrow(lambda batches: back(there(batches)), DECODED)
+
+
+def _split(docs: DataFrame, pattern: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text"), pattern).alias("words"))
+
+
+def _encoding(split: DataFrame, ranks: dict[bytes, int], most: int) -> Pass:
+    """Batches of (doc_id, words) -> batches of (doc_id, ids).
 
     Distinct words are counted over the whole corpus, and the merges are folded once for each
     of the words used most; their ids, bounded in number and length, go to every worker. Other
     words are rare by that choice and are merged where they stand. So the documents are never
     shuffled, and no table that grows with them is broadcast.
     """
-    spark = docs.sparkSession
+    spark = split.sparkSession
     rank_map = Ranks(ranks)
-    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text"), pattern).alias("words"))
     hot = hot_words(split.select(F.explode("words").alias("word")), most)
     hot = hot.repartition(spark.sparkContext.defaultParallelism * 4)
     known = hot.select("word", rank_map.encode(F.col("word")).alias("ids")).toArrow()
@@ -219,16 +248,15 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = H
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(every[flat]))], ["doc_id", "ids"]
             )
 
-    return split.mapInArrow(look_up, "doc_id long, ids array<int>")
+    return look_up
 
 
-def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(doc_id, ids) -> (doc_id, ids, packed, decoded): the ids as little-endian unsigned
-    32-bit integers, and the bytes that they stand for. An unknown id is an error."""
+def _decoding(spark: SparkSession, ranks: dict[bytes, int]) -> Pass:
+    """Batches of (doc_id, ids) -> batches of DECODED."""
     pieces = sorted(ranks.items(), key=lambda x: x[1])
     if [r for _, r in pieces] != list(range(len(pieces))):
         raise ValueError("ranks have gaps")
-    table = tokens.sparkSession.sparkContext.broadcast(pa.array([p for p, _ in pieces], pa.large_binary()))
+    table = spark.sparkContext.broadcast(pa.array([p for p, _ in pieces], pa.large_binary()))
 
     def concatenate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _lists_cut(batches, "ids"):
@@ -248,12 +276,12 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
                 pa.array([bytes(data[places[a] : places[b]]) for a, b in zip(ends, ends[1:])], pa.binary()),
             ], ["doc_id", "ids", "packed", "decoded"])
 
-    return tokens.mapInArrow(concatenate, "doc_id long, ids array<int>, packed binary, decoded binary")
+    return concatenate
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row of ``docs``."""
-    return decode(encode(docs, ranks, pattern), ranks).select(
+    return encode_decode(docs, ranks, pattern).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -186,3 +186,12 @@ def test_words_are_counted_as_the_pattern_says(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [r[0] for r in df.select(mixing.n_words(df.text)).collect()]
     assert got == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
+
+
+def test_a_task_has_one_python_worker(spark, odd_docs, ranks):
+    """Ids are decoded where they were made, with the rows of the two steps."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(bpe.round_trip(odd_docs, ranks, tokenizers.PATTERN)).count("MapInArrow") == 1
+    one = bpe.encode_decode(odd_docs, ranks, tokenizers.PATTERN)
+    two = bpe.decode(bpe.encode(odd_docs, ranks, tokenizers.PATTERN), ranks)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
