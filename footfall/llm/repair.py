@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import slices
-from .word_ids import SLICE, encoder
+from .word_ids import SLICE, encoder, spread
 
 END = 1  # id that closes a document
 CHUNK = 1 << 20  # ids that share a grammar, about; a longer document stays whole
@@ -29,47 +29,66 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     on until no pair is used so often. Rule k, a row of two symbols, defines FIRST_RULE + k,
     which stands for lengths[k] ids.
     """
-    sequence = np.array(ids, np.int64)
+    sequence = np.array(ids, np.int32)
     rules, lengths = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-    while len(sequence) >= 2:
-        pair = sequence[:-1] << 32 | sequence[1:]
+    # Places of pairs that may be frequent: at first all, later those with a new symbol and those
+    # that were frequent and stayed. No other pair can have become frequent.
+    at = np.arange(max(len(sequence) - 1, 0))
+    while len(at):
+        pair = sequence[at].astype(np.int64) << 32 | sequence[at + 1]
         # Pairs whose hash is too rare are not frequent; only the others are sorted and looked up.
         short = _short(pair)
         maybe = np.flatnonzero(np.bincount(short, minlength=1 << 20)[short] >= LEAST)
-        if not len(maybe):
-            break
-        ordered = np.sort(pair[maybe])
-        at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        uses = np.diff(np.append(at, len(ordered)))
+        at, pair, short = at[maybe], pair[maybe], short[maybe]
+        ordered = np.sort(pair)
+        ends = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], [True] * min(len(ordered), 1)))
+        uses = np.diff(ends, prepend=-1)
         often = np.flatnonzero(uses >= LEAST)
         if not len(often):
             break
+        frequent = ordered[ends[often]]
+        place = _find(frequent, pair, short)
+        at, place = at[place >= 0], place[place >= 0]
+        mark = np.zeros(len(sequence), bool)
+        mark[at] = True
         if len(often) > PAIRS:
-            often = np.sort(often[np.argsort(-uses[often], kind="stable")[:PAIRS]])
-        chosen = ordered[at[often]]
-        likely = np.zeros(1 << 20, bool)
-        likely[_short(chosen)] = True
-        maybe = maybe[likely[short[maybe]]]
-        found = np.minimum(np.searchsorted(chosen, pair[maybe]), len(chosen) - 1)
-        real = chosen[found] == pair[maybe]
-        hit = np.zeros(len(pair), bool)
-        hit[maybe[real]] = True
-        place = np.zeros(len(pair), np.int32)
-        place[maybe[real]] = found[real]
-        index = np.arange(len(pair))
-        run = np.maximum.accumulate(np.where(hit, 0, index + 1))
-        take = np.flatnonzero(hit & ((index - run) % 2 == 0))
+            some = np.sort(np.argsort(-uses[often], kind="stable")[:PAIRS])
+            number = np.full(len(often), -1)
+            number[some] = np.arange(len(some))
+            frequent, place = frequent[some], number[place]
+            at, place = at[place >= 0], place[place >= 0]
+        index = np.arange(len(at))
+        run = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) == 1, 0, index))
+        alternate = (index - run) % 2 == 0
+        take = at[alternate]
         first = FIRST_RULE + len(rules)
-        new = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1)
+        new = np.stack([frequent >> 32, frequent & 0xFFFFFFFF], axis=1)
         rules = np.concatenate([rules, new])
         lengths = np.concatenate([lengths, _lengths(new, lengths).sum(axis=1)])
-        sequence[take] = first + place[take]
+        sequence[take] = first + place[alternate]
         stay = np.ones(len(sequence), bool)
         stay[take + 1] = False
-        sequence = sequence[stay]
+        sequence, mark = sequence[stay], mark[stay]
+        made = take - np.arange(len(take))
+        mark[made] = True
+        mark[np.maximum(made - 1, 0)] = True
+        at = np.flatnonzero(mark[:-1])
     return rules.astype("<i4"), lengths.astype("<i4"), sequence.astype("<i4")
 
 
+def _find(ordered: np.ndarray, pairs: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """The place of each pair among the ``ordered``, -1 if it is not there. Most are found by
+    ``short``, their hashes; of those that share a hash all but one need a search."""
+    slot = np.full(1 << 20, -1, np.int32)
+    slot[_short(ordered)] = np.arange(len(ordered))
+    found = slot[short]
+    other = np.flatnonzero((found >= 0) & (ordered[found] != pairs))
+    if len(other):
+        near = np.minimum(np.searchsorted(ordered, pairs[other]), len(ordered) - 1)
+        found[other] = np.where(ordered[near] == pairs[other], near, -1)
+    return found
+
+
 def _short(pairs: np.ndarray) -> np.ndarray:
     return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
@@ -82,17 +101,27 @@ def _lengths(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def expand(rules: np.ndarray, sequence: np.ndarray) -> np.ndarray:
-    """The ids that a sequence of symbols stands for."""
-    while True:
-        deep = sequence >= FIRST_RULE
-        if not deep.any():
-            return sequence
-        at = np.cumsum(deep) - deep + np.arange(len(sequence))
-        out = np.empty(len(sequence) + int(deep.sum()), sequence.dtype)
-        pairs = rules[sequence[deep] - FIRST_RULE]
-        out[at[~deep]] = sequence[~deep]
-        out[at[deep]], out[at[deep] + 1] = pairs[:, 0], pairs[:, 1]
-        sequence = out
+    """The ids that a sequence of symbols stands for. Each rule that it uses is expanded once."""
+    deep = sequence >= FIRST_RULE
+    number = np.zeros(len(rules), np.int64)
+    number[sequence[deep] - FIRST_RULE] = 1
+    used = np.flatnonzero(number)
+    if not len(used):
+        return sequence
+    number[used] = np.arange(len(used))
+    flat, owner = (used + FIRST_RULE).astype(sequence.dtype), np.arange(len(used))
+    while (inner := flat >= FIRST_RULE).any():
+        at = np.cumsum(inner) - inner + np.arange(len(flat))
+        out = np.empty(len(flat) + int(inner.sum()), flat.dtype)
+        pairs = rules[flat[inner] - FIRST_RULE]
+        out[at[~inner]] = flat[~inner]
+        out[at[inner]], out[at[inner] + 1] = pairs[:, 0], pairs[:, 1]
+        flat, owner = out, np.repeat(owner, 1 + inner)
+    each = np.bincount(owner)
+    starts, sizes = sequence.astype(np.int64), np.ones(len(sequence), np.int64)
+    row = number[sequence[deep] - FIRST_RULE]
+    starts[deep], sizes[deep] = FIRST_RULE + (np.cumsum(each) - each)[row], each[row]
+    return np.concatenate([np.arange(FIRST_RULE, dtype=flat.dtype), flat])[spread(starts, sizes)]
 
 
 def window(rules: np.ndarray, lengths: np.ndarray, sequence: np.ndarray, start: int, stop: int) -> np.ndarray:

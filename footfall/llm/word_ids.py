@@ -12,11 +12,15 @@ SLICE = 4 << 20  # bytes of text encoded at once, about
 KNOWN_WORDS = 1 << 18  # words whose ids a worker remembers from one slice to the next, at most
 KNOWN_BYTES = 64  # of such a word at most
 
-_LETTERS = "a-zà-öø-ÿ"  # each its own lower case and composed form
+_LETTERS = "a-zß-öø-ÿ"  # each its own lower case and composed form
 _CAPITALS = "À-ÖØ-Þ"
 
-_BLANKS = np.arange(256, dtype=np.uint8)
-_BLANKS[[9, 10, 13]] = 32
+_PLAIN = np.arange(256, dtype=np.uint8)  # A-Z in lower case, tabs and line ends as blanks
+_PLAIN[65:91] += 32
+_PLAIN[[9, 10, 13]] = 32
+_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+_WORDY = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+_LAST = np.isin(np.arange(256), [x.encode()[1] for x in map(chr, range(0xC0, 0x100)) if x not in "×÷"])  # behind 0xC3: a letter
 
 
 class Encoder:
@@ -100,14 +104,13 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has. A null is empty."""
-        texts = pc.ascii_lower(texts.fill_null("").cast(pa.large_string()))
-        texts = pc.replace_substring_regex(texts, f"([{_LETTERS}{_CAPITALS}0-9])([.,;:!?])", r"\1 \2")
-        offsets, data = texts.buffers()[1], texts.buffers()[2]
-        blank = _BLANKS[np.frombuffer(data, np.uint8)] if data is not None else np.zeros(0, np.uint8)
-        texts = pa.LargeStringArray.from_buffers(len(texts), offsets, pa.py_buffer(blank), None, 0, texts.offset)
-        lists = pc.split_pattern(texts, " ")
-        each = np.asarray(pc.list_value_length(lists), np.int64)
-        coded = lists.flatten().dictionary_encode()
+        texts = texts.fill_null("").cast(pa.large_string())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = texts.buffers()[2]
+        data = _PLAIN[np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]] if data is not None else np.zeros(0, np.uint8)
+        bounds = bounds - bounds[0]
+        words, each = cut_words(data, bounds)
+        coded = words.dictionary_encode()
         ids, starts, sizes = self._words(coded.dictionary)
         row = np.asarray(coded.indices, np.int64)
         count = sizes[row]
@@ -115,6 +118,23 @@ class Encoder:
         return ids[spread(starts[row], count)], np.diff(bounds)
 
 
+def cut_words(data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts in lower case, given as bytes, and how many each text has: cut at blanks,
+    and between a letter or digit and a mark."""
+    solid = data != 32
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    marks = np.flatnonzero(_MARK[data])
+    before, two = data[np.maximum(marks - 1, 0)], data[np.maximum(marks - 2, 0)]
+    first[marks[_WORDY[before] | _LAST[before] & (two == 0xC3)]] = True
+    inside = bounds[:-1][bounds[:-1] < len(data)]
+    first[inside] = solid[inside]
+    starts = np.flatnonzero(first)
+    ends = np.append(np.cumsum(solid)[starts] - 1, solid.sum())
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data[solid]))
+    return words, np.diff(np.searchsorted(starts, bounds))
+
+
 _ENCODERS: dict[int, Encoder] = {}
 
 

@@ -54,3 +54,14 @@ def test_a_worker_remembers_few_words(monkeypatch):
         ids, _ = coder.encode(pa.array([text]))
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
         assert len(coder.known) <= 10
+
+
+def test_rounds_look_at_pairs_that_may_have_become_frequent(monkeypatch):
+    """A tenth of the ids are copies, replaced round by round; the rest is looked at once."""
+    looked, short = [], repair._short
+    monkeypatch.setattr(repair, "_short", lambda pairs: looked.append(len(pairs)) or short(pairs))
+    rng = np.random.default_rng(4)
+    ids = np.concatenate([rng.permutation(30_000), np.tile(30_000 + np.arange(64), 50)])
+    rules, _, sequence = repair.compress(ids)
+    assert len(rules) > 32 and (repair.expand(rules, sequence) == ids).all()
+    assert sum(looked) < 2 * len(ids)
