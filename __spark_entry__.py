@@ -212,11 +212,14 @@ def _snapshots(stg: DataFrame, manifest: bool) -> DataFrame:
 
 def _sql_text(stg: DataFrame) -> DataFrame:
     stg.createOrReplaceTempView("stg_events")
-    return query(stg.sparkSession, """
+    found = query(stg.sparkSession, """
         SELECT brand, event_type, count(*) AS events, count(DISTINCT user_id) AS users,
                min(event_at) AS first_at, max(price) AS top_price
         FROM stg_events GROUP BY brand, event_type
     """)
+    # The query is resolved: a view left in the session would be listed with every schema.
+    stg.sparkSession.catalog.dropTempView("stg_events")
+    return found
 
 
 def _sketched_actives(stg: DataFrame) -> DataFrame:
